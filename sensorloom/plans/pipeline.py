@@ -1,0 +1,36 @@
+"""A full refresh of all models into files, parents before children."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..sources.tables import save_files
+from .models import (
+    air_quality_hourly,
+    energy_hourly,
+    sensor_health,
+    threshold_breaches,
+    traffic_hourly,
+    traffic_pollution_correlation,
+)
+
+
+def refresh_models(
+    raw_air: DataFrame, raw_traffic: DataFrame, raw_energy: DataFrame, base: str, ts: str = "timestamp"
+) -> dict[str, DataFrame]:
+    """Write each model once and return the saved ones.
+
+    The raw tables are read once per model on them; breaches and the correlation
+    read the saved hourly models.
+    """
+    air = save_files(air_quality_hourly(raw_air, ts), base, "air_quality_hourly")
+    traffic = save_files(traffic_hourly(raw_traffic, ts), base, "traffic_hourly")
+    correlation = traffic_pollution_correlation(traffic, air)
+    return {
+        "air_quality_hourly": air,
+        "traffic_hourly": traffic,
+        "energy_hourly": save_files(energy_hourly(raw_energy, ts), base, "energy_hourly"),
+        "threshold_breaches": save_files(threshold_breaches(air), base, "threshold_breaches"),
+        "sensor_health": save_files(sensor_health(raw_air, ts=ts), base, "sensor_health"),
+        "traffic_pollution_correlation": save_files(correlation, base, "traffic_pollution_correlation"),
+    }
