@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import as_utc_instant, is_ntz
+
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
 
 DEAD_UNIT, SILENT_UNIT, DRIFT_UNIT = 1, 2, 3
-SILENT_FROM = "TIMESTAMP_NTZ '2024-01-25 00:00:00'"
+SILENT_FROM = "2024-01-25 00:00:00"
 
 
 def _unit() -> Column:
@@ -31,9 +33,15 @@ def _identity(kind: str) -> list[Column]:
     ]
 
 
+def _silent_from(events: DataFrame) -> Column:
+    if is_ntz(events, "ts"):
+        return F.expr(f"TIMESTAMP_NTZ '{SILENT_FROM}'")
+    return F.expr(f"TIMESTAMP '{SILENT_FROM}+00:00'")
+
+
 def air_from_events(events: DataFrame) -> DataFrame:
     value = F.col("value")
-    silent = (_unit() == SILENT_UNIT) & (F.col("ts") >= F.expr(SILENT_FROM))
+    silent = (_unit() == SILENT_UNIT) & (F.col("ts") >= _silent_from(events))
     pm25 = F.when(_unit() == DEAD_UNIT, 0.0).when(_unit() == DRIFT_UNIT, value * 3.0).otherwise(value)
     return events.filter(F.col("event_type").isin("view", "click", "error") & ~silent).select(
         *_identity("air"),
@@ -74,4 +82,7 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    """The same table as a stream, with ``ts`` as an instant: watermarks need one."""
+    # As a pattern the path may be one file as well as a folder of files.
+    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet*")
+    return events.withColumn("ts", as_utc_instant(F.col("ts")))
