@@ -7,7 +7,7 @@ NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 
 def num(x: str, places: int) -> str:
     """ROUND(x::numeric, places) of a double, returned as DOUBLE."""
-    return f"CAST(ROUND(CAST(printf('%.14e', {x}) AS DECIMAL(38,10)), {places}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(printf('%.14e', {x}) AS DECIMAL(38,18)), {places}) AS DOUBLE)"
 
 
 RAW = """
@@ -173,8 +173,8 @@ def expected(table: str, metrics: dict[str, str]) -> str:
     columns = []
     for metric, formula in metrics.items():
         level = f"CAST({formula} AS DOUBLE)"
-        columns.append(f"{num(level, 6)} AS expected_{metric}")
-        columns.append(f"{num(f'CAST({metric} AS DOUBLE) - {level}', 6)} AS residual_{metric}")
+        columns.append(f"ROUND({level}, 6) AS expected_{metric}")
+        columns.append(f"ROUND({metric} - {level}, 6) AS residual_{metric}")
     return (
         f"WITH {RAW}, {zones}, lined AS (SELECT *, {factor} AS f FROM {table} LEFT JOIN zones USING (zone_id)) "
         f"SELECT ts AS timestamp, sensor_id, zone_id, {', '.join(metrics)}, {', '.join(columns)} FROM lined"
@@ -188,9 +188,12 @@ def messages() -> str:
     own = {"air": fields[:4], "traffic": fields[4:6], "energy": fields[6:]}
     parts = []
     for kind, names in own.items():
-        columns = ", ".join(f if f in names else f"CAST(NULL AS {'INT' if f == 'vehicle_count' else 'DOUBLE'}) AS {f}"
-                            for f in fields)
-        parts.append(f"SELECT 'sensor_{kind}' AS topic, ts AS timestamp, sensor_id, zone_id, {columns} FROM raw_{kind}")
+        absent = {f: f"CAST(NULL AS {'INT' if f == 'vehicle_count' else 'DOUBLE'}) AS {f}" for f in fields}
+        columns = ", ".join(f if f in names else absent[f] for f in fields)
+        parts.append(
+            f"SELECT 'sensor_{kind}' AS topic, CAST(NULL AS VARCHAR) AS problem, ts AS timestamp, "
+            f"sensor_id, zone_id, {columns} FROM raw_{kind}"
+        )
     return raw(" UNION ALL ".join(parts))
 
 

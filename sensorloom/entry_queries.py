@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions.numeric import round_numeric
 from .functions.times import as_utc_instant, as_utc_ntz
 from .operators.expected import expected_levels
 from .operators.silence import reading_gaps, silent_sensors
@@ -57,8 +56,8 @@ def stream_raws(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return raw_from_events(stream_events(spark, sf_dir))
 
 
-def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return models.build_models(*raws(spark, sf_dir).values())
+def built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return models.build_model(name, raws(spark, sf_dir))
 
 
 def stored(spark: SparkSession, sf_dir: str, kind: Kind) -> str:
@@ -71,7 +70,7 @@ def stored(spark: SparkSession, sf_dir: str, kind: Kind) -> str:
 
 
 def model(name: str) -> Query:
-    return lambda spark, sf_dir: plain(models.in_order(name, built(spark, sf_dir)[name]))
+    return lambda spark, sf_dir: plain(models.in_order(name, built(spark, sf_dir, name)))
 
 
 def panel(table: str, value: str) -> Query:
@@ -79,11 +78,11 @@ def panel(table: str, value: str) -> Query:
 
 
 def panel_sensor_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(panels.sensor_health_panel(built(spark, sf_dir)["sensor_health"]))
+    return plain(panels.sensor_health_panel(built(spark, sf_dir, "sensor_health")))
 
 
 def panel_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(panels.correlation_panel(built(spark, sf_dir)["traffic_pollution_correlation"]))
+    return plain(panels.correlation_panel(built(spark, sf_dir, "traffic_pollution_correlation")))
 
 
 def raw_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +94,7 @@ def raw_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_models(refresh_models(*raws(spark, sf_dir).values(), scratch_dir(spark, "models")))
+    return quality_models(refresh_models(raws(spark, sf_dir), scratch_dir(spark, "models")))
 
 
 def silence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +109,7 @@ def expected(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         levels = expected_levels(raws(spark, sf_dir)[table])
         derived = [c for c in levels.columns if c.startswith(("expected_", "residual_"))]
-        return plain(levels.withColumns({c: round_numeric(F.col(c), 6) for c in derived}))
+        return levels.withColumns({c: F.round(c, 6) for c in derived})
 
     return query
 
@@ -118,8 +117,7 @@ def expected(table: str) -> Query:
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = raws(spark, sf_dir)
     messages = [publish(tables[kind.table], kind) for kind in KINDS.values()]
-    decoded = decode(reduce(DataFrame.unionByName, messages)).filter(F.col("problem").isNull())
-    return plain(decoded.drop("value", "problem"))
+    return plain(decode(reduce(DataFrame.unionByName, messages)).drop("value"))
 
 
 def table_sensor_health(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,11 @@ def to_numeric(value: Column) -> Column:
     """Double to decimal through its 15 significant digits.
 
     A float8 is turned to numeric in this way in the SQL dialect of the models,
-    so float noise such as 6.964999999999999 does not decide a rounding tie.
-    NaN and infinities have no decimal form and become NULL.
+    so float noise such as 6.964999999999999 does not decide a rounding tie. NaN,
+    infinities and numbers from 1e20 on do not fit the decimal and become NULL.
     """
     text = F.format_string("%.14e", value.cast("double"))
-    return F.when(value.isNotNull(), text.try_cast("decimal(38,10)"))
+    return F.when(value.isNotNull(), text.try_cast("decimal(38,18)"))
 
 
 def round_numeric(value: Column, places: int) -> Column:

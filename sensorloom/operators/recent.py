@@ -34,11 +34,11 @@ def last_n(df: DataFrame, key: str, order: Sequence[Column], n: int, slices: int
 def in_last_days(df: DataFrame, key: str, n: int, day: str = "day") -> DataFrame:
     """Keep only the days that can hold the newest ``n`` rows of some key.
 
-    For tables partitioned by day. Rows are counted per (key, day) - a scan of the
-    key column alone - and a key needs a day while fewer than n of its rows are
+    For tables partitioned by day. Rows are counted per (key, day), a scan of the
+    key column alone, and a key needs a day while fewer than n of its rows are
     newer. Exact for silent keys as well: their old days stay needed. The needed
-    days prune the partitions of the second scan; they are broadcast, being at
-    most one row per calendar day of the table.
+    days prune the second scan; they are broadcast, being at most one row per
+    calendar day of the table.
     """
     counts = df.groupBy(key, day).agg(F.count("*").alias("_rows"))
     newer = W.partitionBy(key).orderBy(F.desc(day)).rowsBetween(W.unboundedPreceding, -1)

@@ -87,20 +87,20 @@ def recent_readings(raw_air: DataFrame, last: int = 200, ts: str = "timestamp")
     """The newest ``last`` readings of each sensor.
 
     A table with a ``day`` partition column is first cut to the days that can hold
-    them.
+    them, at the price of counting rows per sensor and day.
     """
+    columns = ["sensor_id", "zone_id", ts, "pm25_level"]
     if "day" in raw_air.columns:
-        raw_air = in_last_days(raw_air, "sensor_id", last)
-    narrow = raw_air.select("sensor_id", "zone_id", ts, "pm25_level")
-    return last_n(narrow, "sensor_id", newest_first(ts), last)
+        raw_air = in_last_days(raw_air.select(*columns, "day"), "sensor_id", last)
+    return last_n(raw_air.select(*columns), "sensor_id", newest_first(ts), last)
 
 
 def classify_sensors(recent: DataFrame, n_stddev: float = 1.0) -> DataFrame:
     """Health per sensor from its recent readings against the fleet.
 
     The fleet's bound is one value, read through a scalar subquery; both sides
-    share the shuffle of ``recent``. It is brought to ten decimals, where float
-    noise cannot push a sensor exactly on the bound over it.
+    share the shuffle of ``recent``. It is cut to the digits a double is good for,
+    so float noise cannot push a sensor exactly on the bound over it.
     """
     per_sensor = recent.groupBy("sensor_id", "zone_id").agg(
         F.count("*").alias("recent_readings"),
@@ -165,17 +165,25 @@ def in_order(model: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*[how[direction](column) for column, direction in MODEL_ORDER[model]])
 
 
-def build_models(
-    raw_air: DataFrame, raw_traffic: DataFrame, raw_energy: DataFrame, ts: str = "timestamp"
-) -> dict[str, DataFrame]:
-    """All six models, each reading the ones it is built on."""
-    air = air_quality_hourly(raw_air, ts)
-    traffic = traffic_hourly(raw_traffic, ts)
-    return {
-        "air_quality_hourly": air,
-        "traffic_hourly": traffic,
-        "energy_hourly": energy_hourly(raw_energy, ts),
-        "threshold_breaches": threshold_breaches(air),
-        "sensor_health": sensor_health(raw_air, ts=ts),
-        "traffic_pollution_correlation": traffic_pollution_correlation(traffic, air),
-    }
+def build_model(name: str, raw: dict[str, DataFrame], ts: str = "timestamp") -> DataFrame:
+    """One model from the raw tables, by table name, with the models it is built on."""
+    if name == "air_quality_hourly":
+        return air_quality_hourly(raw["raw_air_quality"], ts)
+    if name == "traffic_hourly":
+        return traffic_hourly(raw["raw_traffic"], ts)
+    if name == "energy_hourly":
+        return energy_hourly(raw["raw_energy"], ts)
+    if name == "threshold_breaches":
+        return threshold_breaches(build_model("air_quality_hourly", raw, ts))
+    if name == "sensor_health":
+        return sensor_health(raw["raw_air_quality"], ts=ts)
+    if name == "traffic_pollution_correlation":
+        return traffic_pollution_correlation(
+            build_model("traffic_hourly", raw, ts), build_model("air_quality_hourly", raw, ts)
+        )
+    raise KeyError(name)
+
+
+def build_models(raw: dict[str, DataFrame], ts: str = "timestamp") -> dict[str, DataFrame]:
+    """All six models, unsaved."""
+    return {name: build_model(name, raw, ts) for name in MODEL_ORDER}

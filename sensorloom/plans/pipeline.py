@@ -15,22 +15,25 @@ from .models import (
 )
 
 
-def refresh_models(
-    raw_air: DataFrame, raw_traffic: DataFrame, raw_energy: DataFrame, base: str, ts: str = "timestamp"
-) -> dict[str, DataFrame]:
+def refresh_models(raw: dict[str, DataFrame], base: str, ts: str = "timestamp") -> dict[str, DataFrame]:
     """Write each model once and return the saved ones.
 
-    The raw tables are read once per model on them; breaches and the correlation
-    read the saved hourly models.
+    The raw tables are read by the models on them only; breaches and the
+    correlation read the saved hourly models.
     """
-    air = save_files(air_quality_hourly(raw_air, ts), base, "air_quality_hourly")
-    traffic = save_files(traffic_hourly(raw_traffic, ts), base, "traffic_hourly")
-    correlation = traffic_pollution_correlation(traffic, air)
+    air = save_files(air_quality_hourly(raw["raw_air_quality"], ts), base, "air_quality_hourly")
+    traffic = save_files(traffic_hourly(raw["raw_traffic"], ts), base, "traffic_hourly")
+    energy = save_files(energy_hourly(raw["raw_energy"], ts), base, "energy_hourly")
+    breaches = save_files(threshold_breaches(air), base, "threshold_breaches")
+    health = save_files(sensor_health(raw["raw_air_quality"], ts=ts), base, "sensor_health")
+    correlation = save_files(
+        traffic_pollution_correlation(traffic, air), base, "traffic_pollution_correlation"
+    )
     return {
         "air_quality_hourly": air,
         "traffic_hourly": traffic,
-        "energy_hourly": save_files(energy_hourly(raw_energy, ts), base, "energy_hourly"),
-        "threshold_breaches": save_files(threshold_breaches(air), base, "threshold_breaches"),
-        "sensor_health": save_files(sensor_health(raw_air, ts=ts), base, "sensor_health"),
-        "traffic_pollution_correlation": save_files(correlation, base, "traffic_pollution_correlation"),
+        "energy_hourly": energy,
+        "threshold_breaches": breaches,
+        "sensor_health": health,
+        "traffic_pollution_correlation": correlation,
     }
