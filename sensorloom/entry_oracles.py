@@ -173,8 +173,8 @@ def expected(table: str, metrics: dict[str, str]) -> str:
     columns = []
     for metric, formula in metrics.items():
         level = f"CAST({formula} AS DOUBLE)"
-        columns.append(f"ROUND({level}, 6) AS expected_{metric}")
-        columns.append(f"ROUND({metric} - {level}, 6) AS residual_{metric}")
+        columns.append(f"ROUND({level}, 6) + 0.0 AS expected_{metric}")
+        columns.append(f"ROUND({metric} - {level}, 6) + 0.0 AS residual_{metric}")
     return (
         f"WITH {RAW}, {zones}, lined AS (SELECT *, {factor} AS f FROM {table} LEFT JOIN zones USING (zone_id)) "
         f"SELECT ts AS timestamp, sensor_id, zone_id, {', '.join(metrics)}, {', '.join(columns)} FROM lined"

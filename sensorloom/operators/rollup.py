@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 def hourly_buckets(
     df: DataFrame, aggs: Sequence[Column], keys: Sequence[str] = ("zone_id",), ts: str = "timestamp"
 ) -> DataFrame:
-    """Aggregate readings per key and UTC hour: ``keys, bucket, aggs``.
+    """Aggregate a stream per key and hour: ``keys, bucket, aggs``.
 
-    The bucket is a tumbling window on epoch time: plain long arithmetic, the
-    same in every session time zone, and it carries a stream's watermark. Every
-    aggregate has a partial form, so a task ships one row per (key, hour) it
-    saw, however many readings a hot zone has.
+    The bucket is a window, which carries the stream's watermark.
     """
     return df.groupBy(*keys, F.window(ts, "1 hour").alias("bucket")).agg(*aggs)
 
@@ -24,7 +21,16 @@ def hourly_buckets(
 def hourly_rollup(
     df: DataFrame, aggs: Sequence[Column], keys: Sequence[str] = ("zone_id",), ts: str = "timestamp"
 ) -> DataFrame:
-    """``hourly_buckets`` with the start of the bucket as ``hour``."""
-    buckets = hourly_buckets(df, aggs, keys, ts)
-    values = [c for c in buckets.columns if c not in (*keys, "bucket")]
-    return buckets.select(*keys, F.col("bucket.start").alias("hour"), *values)
+    """Aggregate readings per key and UTC hour: ``keys, hour, aggs``.
+
+    The hour is the start of a tumbling window on epoch time: plain long
+    arithmetic, the same in every session time zone. Every aggregate has a partial
+    form, so a task ships one row per (key, hour) it saw, however many readings a
+    hot zone has. A batch result is partitioned by (keys, hour), as joins of hourly
+    models on these columns want it.
+    """
+    if df.isStreaming:
+        buckets = hourly_buckets(df, aggs, keys, ts)
+        values = [c for c in buckets.columns if c not in (*keys, "bucket")]
+        return buckets.select(*keys, F.col("bucket.start").alias("hour"), *values)
+    return df.withColumn("hour", F.window(ts, "1 hour").getField("start")).groupBy(*keys, "hour").agg(*aggs)

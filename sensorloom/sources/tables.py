@@ -19,6 +19,9 @@ def table_path(base: str, table: str) -> str:
 def create_raw_tables(spark: SparkSession, base: str) -> None:
     """Declare the raw tables over ``base`` where they do not exist yet."""
     for kind in KINDS.values():
+        # An empty append makes the folder of a table nothing was written to yet.
+        empty = spark.createDataFrame([], stored_schema(kind))
+        empty.write.mode("append").partitionBy("day", "batch").parquet(table_path(base, kind.table))
         columns = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in kind.schema
         )

@@ -1,0 +1,220 @@
+"""Ingest and streaming models, on file streams of topic, value."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import StreamingQueryException
+
+from sensorloom.plans import models
+from sensorloom.schemas import AIR, ENERGY, KINDS, TRAFFIC
+from sensorloom.sources import topics
+from sensorloom.sources.tables import read_raw
+from sensorloom.streaming import health, ingest, rollups
+
+T0 = "2024-01-01T00:00:00+00:00"
+
+
+def message(kind, **changes):
+    values = {"timestamp": T0, "sensor_id": "s", "zone_id": "z", **{m: 1 for m in kind.metrics}, **changes}
+    return kind.topic, json.dumps({k: v for k, v in values.items() if v != "absent"})
+
+
+def put(spark, folder, rows):
+    """Add one file of messages to a stream's folder."""
+    spark.createDataFrame(rows, "topic string, value string").coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def stream(spark, folder):
+    return spark.readStream.schema("topic string, value string").parquet(str(folder))
+
+
+def run(spark, tmp_path, **how):
+    query = ingest.ingest(stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), **how)
+    query.awaitTermination()
+    return query
+
+
+def count(spark, tmp_path, kind):
+    return read_raw(spark, str(tmp_path / "out"), kind).count()
+
+
+@pytest.mark.parametrize(
+    "sent, problem",
+    [
+        (message(AIR), None),
+        (message(AIR, extra=1), None),
+        (message(AIR, pm25_level=None), None),
+        (message(AIR, pm25_level="12.5"), None),
+        (message(TRAFFIC, timestamp="2024-01-01T00:00:00.123456+00:00"), None),
+        (message(AIR, pm25_level="high"), topics.WRONG_TYPE),
+        (message(AIR, pm25_level=[1]), topics.WRONG_TYPE),
+        (message(AIR, pm25_level=True), topics.WRONG_TYPE),
+        (message(AIR, timestamp="yesterday noon"), topics.WRONG_TYPE),
+        (message(TRAFFIC, vehicle_count=3_000_000_000), topics.WRONG_TYPE),
+        (message(AIR, pm25_level="absent"), topics.MISSING_KEY),
+        (message(AIR, zone_id="absent"), topics.MISSING_KEY),
+        (message(ENERGY, zone_id=None), topics.NULL_REQUIRED),
+        (message(ENERGY, timestamp=None), topics.NULL_REQUIRED),
+        (("sensor_air", "{not json"), topics.BAD_JSON),
+        (("sensor_air", "[1, 2]"), topics.BAD_JSON),
+        (("sensor_air", ""), topics.BAD_JSON),
+        (("sensor_air", None), topics.BAD_JSON),
+        (("sensor_noise", message(AIR)[1]), topics.UNKNOWN_TOPIC),
+        ((None, message(AIR)[1]), topics.UNKNOWN_TOPIC),
+    ],
+)
+def test_decode(spark, sent, problem):
+    row = topics.decode(spark.createDataFrame([sent], "topic string, value string")).head()
+    assert row.problem == problem
+
+
+def test_decode_types(spark):
+    sent = [message(TRAFFIC, vehicle_count=3.7, avg_speed_kmh="41.5", timestamp="2024-01-01T05:30:00.000001+05:30")]
+    row = topics.decode(spark.createDataFrame(sent, "topic string, value string")).head()
+    assert (row.vehicle_count, row.avg_speed_kmh) == (4, 41.5)
+    assert row.timestamp == dt.datetime(2024, 1, 1, 0, 0, 0, 1)
+
+
+def test_decode_bytes(spark):
+    rows = [("sensor_air", bytearray(message(AIR)[1].encode())), ("sensor_air", bytearray(b'{"zone_id": "\xff"}'))]
+    got = topics.decode(spark.createDataFrame(rows, "topic string, value binary")).collect()
+    assert [r.problem for r in got] == [None, topics.BAD_JSON]
+
+
+def test_publish_writes_iso_times_and_nulls(spark):
+    rows = [(dt.datetime(2024, 1, 1), "s", "z", None, 30.5), (dt.datetime(2024, 1, 1, 0, 0, 0, 120), "s", "z", 4, 1.0)]
+    df = spark.createDataFrame(rows, TRAFFIC.schema)
+    got = [json.loads(r.value) for r in topics.publish(df, TRAFFIC).collect()]
+    assert got[0] == {"timestamp": T0, "sensor_id": "s", "zone_id": "z", "vehicle_count": None, "avg_speed_kmh": 30.5}
+    assert got[1]["timestamp"] == "2024-01-01T00:00:00.000120+00:00"
+    back = topics.readings(topics.decode(topics.publish(df, TRAFFIC)), TRAFFIC)
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_ingest_routes_and_quarantines(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR), message(TRAFFIC), message(TRAFFIC, sensor_id="t"), message(ENERGY),
+                                 message(AIR, zone_id=None), ("other", "{}"), ("sensor_air", "xx")])
+    query = run(spark, tmp_path)
+    assert [count(spark, tmp_path, k) for k in KINDS.values()] == [1, 2, 1]
+    bad = spark.read.parquet(str(tmp_path / "out" / ingest.QUARANTINE)).collect()
+    assert sorted(r.problem for r in bad) == [topics.BAD_JSON, topics.NULL_REQUIRED, topics.UNKNOWN_TOPIC]
+    assert ingest.rows_read(query) == 7
+
+
+def test_restart_goes_on_where_it_stopped(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR)])
+    run(spark, tmp_path)
+    run(spark, tmp_path)
+    assert count(spark, tmp_path, AIR) == 1
+    put(spark, tmp_path / "in", [message(AIR, sensor_id="s2"), message(AIR, timestamp="2001-01-01T00:00:00+00:00")])
+    run(spark, tmp_path)
+    # The second is twenty years late and still taken.
+    assert count(spark, tmp_path, AIR) == 3
+
+
+def test_a_batch_that_failed_half_way_is_not_doubled(spark, tmp_path, monkeypatch):
+    put(spark, tmp_path / "in", [message(AIR), message(TRAFFIC), message(ENERGY)])
+    real = ingest.append_raw
+
+    def fails_on_energy(df, base, kind, batch):
+        if kind is ENERGY:
+            raise RuntimeError("lost")
+        real(df, base, kind, batch)
+
+    monkeypatch.setattr(ingest, "append_raw", fails_on_energy)
+    with pytest.raises(StreamingQueryException):
+        run(spark, tmp_path)
+    assert count(spark, tmp_path, AIR) == 1
+    monkeypatch.setattr(ingest, "append_raw", real)
+    run(spark, tmp_path)
+    assert [count(spark, tmp_path, k) for k in KINDS.values()] == [1, 1, 1]
+
+
+def test_a_new_checkpoint_does_not_overwrite_older_batches(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR)])
+    for position in ("cp1", "cp2"):
+        ingest.ingest(stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / position)).awaitTermination()
+    assert count(spark, tmp_path, AIR) == 2
+
+
+def test_fail_mode_stops_before_writing(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR), ("sensor_air", "xx")])
+    with pytest.raises(StreamingQueryException, match="bad_json"):
+        run(spark, tmp_path, on_bad="fail")
+    assert not (tmp_path / "out").exists()
+
+
+def test_dedupe_drops_repeats_and_keeps_rejects(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR), message(AIR), message(AIR, sensor_id="s2"), message(TRAFFIC)])
+    put(spark, tmp_path / "in", [message(AIR), ("sensor_air", "xx"), ("sensor_air", "xx")])
+    run(spark, tmp_path, dedupe="10 minutes")
+    assert [count(spark, tmp_path, k) for k in KINDS.values()] == [2, 1, 0]
+    assert spark.read.parquet(str(tmp_path / "out" / ingest.QUARANTINE)).count() == 2
+
+
+def put_air(spark, folder, rows):
+    df = spark.createDataFrame(rows, "ts string, sensor_id string, pm25_level double")
+    level = F.col("pm25_level")
+    df.select(F.col("ts").cast("timestamp").alias("timestamp"), "sensor_id", F.lit("z").alias("zone_id"),
+              level.alias("co_level"), level.alias("no2_level"), "pm25_level", level.alias("o3_level")
+              ).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def air_stream(spark, folder):
+    return spark.readStream.schema(AIR.schema).parquet(str(folder))
+
+
+def hourly(spark, tmp_path):
+    out = rollups.hourly_stream(air_stream(spark, tmp_path / "in"), models.air_quality_hourly, "10 minutes")
+    rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    return {r.hour.hour: r.reading_count for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+
+def test_streaming_hours_close_with_the_watermark(spark, tmp_path):
+    put_air(spark, tmp_path / "in", [("2024-01-01 00:30:00", "s", 1.0), ("2024-01-01 01:05:00", "s", 1.0)])
+    assert hourly(spark, tmp_path) == {}  # 01:05 is not 10 minutes past the end of hour 0
+    put_air(spark, tmp_path / "in", [("2024-01-01 00:59:00", "s", 1.0), ("2024-01-01 01:10:00", "s", 1.0)])
+    assert hourly(spark, tmp_path) == {0: 2}
+    # Hour 0 is final now: a late reading no longer counts on the stream.
+    put_air(spark, tmp_path / "in", [("2024-01-01 00:59:30", "s", 1.0), ("2024-01-01 02:30:00", "s", 1.0)])
+    assert hourly(spark, tmp_path) == {0: 2, 1: 2}
+    batch = models.air_quality_hourly(spark.read.schema(AIR.schema).parquet(str(tmp_path / "in")))
+    assert {r.hour.hour: r.reading_count for r in batch.collect()} == {0: 3, 1: 2, 2: 1}
+
+
+def test_streaming_health_equals_batch_after_each_batch(spark, tmp_path):
+    rows = []
+    for n in range(3):
+        new = [(f"2024-01-0{n + 1} {h:02d}:{m:02d}:00", f"s{(h + n) % 4}", float(h * n + m)) for h in range(24) for m in (0, 7)]
+        rows += new
+        put_air(spark, tmp_path / "in", new)
+        query = health.track_health(air_stream(spark, tmp_path / "in"), str(tmp_path / "kept"), str(tmp_path / "cp"), last=20)
+        query.awaitTermination()
+        got = health.current_health(spark, str(tmp_path / "kept"), query.id)
+        batch = spark.read.schema(AIR.schema).parquet(str(tmp_path / "in"))
+        assert sorted(got.collect()) == sorted(models.sensor_health(batch, last=20).collect())
+    assert len(list((tmp_path / "kept" / str(query.id)).iterdir())) == 2
+
+
+def test_sessions_end_when_a_sensor_falls_silent(spark, tmp_path):
+    put_air(spark, tmp_path / "in", [("2024-01-01 00:00:00", "s", 1.0), ("2024-01-01 00:20:00", "s", 1.0),
+                                     ("2024-01-01 05:00:00", "t", 1.0)])
+    out = rollups.activity_sessions(air_stream(spark, tmp_path / "in"), "30 minutes", "1 minute")
+    rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r.sensor_id, r.readings, r.last_seen.minute) for r in rows] == [("s", 2, 20)]
+
+
+def test_joined_hours_drop_their_state(spark, tmp_path):
+    """Joined on the bucket, so old hours do not stay in the join's state."""
+    put_air(spark, tmp_path / "air", [(f"2024-01-01 {h:02d}:30:00", "s", float(h)) for h in range(10)])
+    traffic = air_stream(spark, tmp_path / "air").withColumn("vehicle_count", F.col("pm25_level").cast("int"))
+    out = rollups.joined_hours_stream(traffic, air_stream(spark, tmp_path / "air"), "1 minute")
+    query = rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.hour.hour, r.total_vehicles) for r in rows) == [(h, h) for h in range(9)]
+    kept = [s["numRowsTotal"] for s in query.lastProgress["stateOperators"] if "Join" in s["operatorName"]]
+    assert kept == [0]
