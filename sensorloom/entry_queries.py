@@ -28,6 +28,7 @@ from .streaming.rollups import activity_sessions, append_files, hourly_stream, j
 Query = Callable[[SparkSession, str], DataFrame]
 
 DELAY = "10 minutes"
+MAX_BATCH = 256 << 30
 
 
 def now():
@@ -143,7 +144,7 @@ def table_refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All readings as messages, and as bad messages what other events can give."""
     folder = scratch_dir(spark, "ingest")
-    events = stream_events(spark, sf_dir)
+    events = stream_events(spark, sf_dir, MAX_BATCH)
     tables = raw_from_events(events)
     messages = [publish(tables[kind.table], kind) for kind in KINDS.values()]
     for event_type, topic, value in (

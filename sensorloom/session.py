@@ -7,12 +7,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+SESSION_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 SETTINGS = {
     # Readings are UTC instants; hours and days below are UTC hours and days.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Stream state off the heap, and sessions merged in each task before their shuffle.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    SESSION_MERGE: "true",
     "spark.ui.enabled": "false",
 }
 

@@ -78,11 +78,18 @@ def raw_from_events(events: DataFrame) -> dict[str, DataFrame]:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a stream, with ``ts`` as an instant: watermarks need one."""
+def stream_events(spark: SparkSession, sf_dir: str, max_bytes: int | None = None) -> DataFrame:
+    """The same table as a stream, with ``ts`` as an instant: watermarks need one.
+
+    ``max_bytes`` bounds a micro-batch. Leave it out for streams with a watermark:
+    files come in no order of time, and an early late file would be dropped.
+    """
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     # As a pattern the path may be one file as well as a folder of files.
-    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet*")
+    events = reader.parquet(f"{sf_dir}/events.parquet*")
     return events.withColumn("ts", as_utc_instant(F.col("ts")))

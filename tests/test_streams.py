@@ -77,6 +77,17 @@ def test_decode_types(spark):
     assert row.timestamp == dt.datetime(2024, 1, 1, 0, 0, 0, 1)
 
 
+def test_a_time_without_an_offset_is_utc(spark):
+    texts = ["2024-01-01T00:00:00", "2024-01-01 00:00:00.5", "2024-01-01T05:30:00+05:30", "2024-01-01T00:00:00Z"]
+    sent = spark.createDataFrame([message(AIR, timestamp=t) for t in texts], "topic string, value string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        got = [r.t for r in topics.decode(sent).select(F.unix_millis("timestamp").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [1704067200000, 1704067200500, 1704067200000, 1704067200000]
+
+
 def test_decode_bytes(spark):
     rows = [("sensor_air", bytearray(message(AIR)[1].encode())), ("sensor_air", bytearray(b'{"zone_id": "\xff"}'))]
     got = topics.decode(spark.createDataFrame(rows, "topic string, value binary")).collect()
