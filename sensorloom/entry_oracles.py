@@ -210,7 +210,9 @@ marked AS (
     SELECT *, CASE WHEN ts - LAG(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
     FROM raw_air WINDOW w AS (PARTITION BY sensor_id ORDER BY ts)
 ),
-numbered AS (SELECT *, SUM(opens) OVER (PARTITION BY sensor_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM marked)
+numbered AS (
+    SELECT *, SUM(opens) OVER (PARTITION BY sensor_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM marked
+)
 SELECT sensor_id, COUNT(*) AS readings, MIN(ts) AS first_seen, MAX(ts) AS last_seen
 FROM numbered GROUP BY sensor_id, run
 HAVING MAX(ts) + INTERVAL 6 HOUR <= (SELECT MAX(ts) FROM raw_air) - INTERVAL 10 MINUTE"""

@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-RESULT = "table_name string, check_name string, value double, passed boolean"
-
 
 @dataclass(frozen=True)
 class Rule:

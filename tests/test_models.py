@@ -1,7 +1,8 @@
 """Model semantics on small frames."""
 
 import datetime as dt
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from sensorloom.operators.expected import expected_levels
 from sensorloom.operators.recent import in_last_days, last_n
 from sensorloom.operators.silence import reading_gaps, silent_sensors
 from sensorloom.plans import models, panels
+from sensorloom.schemas import TRAFFIC
 
 
 def at(seconds):
@@ -43,6 +45,18 @@ def test_round_numeric(spark, value, places, want):
     assert df.head().y == (None if want is None else Decimal(want))
 
 
+@pytest.mark.parametrize("places", [0, 1, 2, 3])
+def test_round_numeric_equals_decimal_arithmetic(spark, places):
+    draw = random.Random(places)
+    values = [draw.uniform(0, 10 ** draw.randint(-3, 9)) for _ in range(4000)]
+    # Means of a few two-decimal levels: many exact ties, with and without float noise.
+    values += [sum(round(draw.uniform(0, 500), 2) for _ in range(n)) / n for n in (2, 4, 8) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    unit = Decimal(1).scaleb(-places)
+    for row in df.select("x", round_numeric(F.col("x"), places).alias("y")).collect():
+        assert row.y == Decimal(f"{row.x:.14e}").quantize(unit, ROUND_HALF_UP), row.x
+
+
 def test_exact_mean_is_not_a_double_mean(spark):
     df = spark.createDataFrame([(Decimal("30.00"),), (Decimal("30.01"),), (None,)], "x decimal(31,2)")
     assert df.agg(exact_mean("x", 2).alias("m")).head().m == Decimal("30.005")
@@ -181,7 +195,8 @@ def test_correlation_drops_hours_missing_on_a_side(spark):
 
 
 def test_null_order_when_reading(spark):
-    corr = spark.createDataFrame([("a", None), ("b", 0.1), ("c", 0.9)], "zone_id string, traffic_pm25_correlation double")
+    rows = [("a", None), ("b", 0.1), ("c", 0.9)]
+    corr = spark.createDataFrame(rows, "zone_id string, traffic_pm25_correlation double")
     order = [r.zone_id for r in models.in_order("traffic_pollution_correlation", corr).collect()]
     assert order == ["c", "b", "a"]
     hourly = spark.createDataFrame([("a", 1), (None, 1), ("a", None), ("b", 2)], "zone_id string, hour int")
@@ -245,8 +260,7 @@ def test_expected_levels_by_metric(spark, air):
     assert rows["zone_a"].residual_pm25_level == pytest.approx(30 - 30 * factor)
     assert rows["zone_a"].expected_o3_level == 55.0
     assert rows["elsewhere"].expected_pm25_level is None
-    traffic = spark.createDataFrame([(dt.datetime(2024, 1, 1, 2), "s", "zone_a", 7, 20.0)],
-                                    "timestamp timestamp, sensor_id string, zone_id string, vehicle_count int, avg_speed_kmh double")
+    traffic = spark.createDataFrame([(dt.datetime(2024, 1, 1, 2), "s", "zone_a", 7, 20.0)], TRAFFIC.schema)
     row = expected_levels(traffic).head()
     assert row.expected_vehicle_count == pytest.approx(400 * factor)
     assert row.expected_avg_speed_kmh == pytest.approx(45 / 0.5)

@@ -146,7 +146,8 @@ def test_a_batch_that_failed_half_way_is_not_doubled(spark, tmp_path, monkeypatc
 def test_a_new_checkpoint_does_not_overwrite_older_batches(spark, tmp_path):
     put(spark, tmp_path / "in", [message(AIR)])
     for position in ("cp1", "cp2"):
-        ingest.ingest(stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / position)).awaitTermination()
+        source = stream(spark, tmp_path / "in")
+        ingest.ingest(source, str(tmp_path / "out"), str(tmp_path / position)).awaitTermination()
     assert count(spark, tmp_path, AIR) == 2
 
 
@@ -198,10 +199,12 @@ def test_streaming_hours_close_with_the_watermark(spark, tmp_path):
 def test_streaming_health_equals_batch_after_each_batch(spark, tmp_path):
     rows = []
     for n in range(3):
-        new = [(f"2024-01-0{n + 1} {h:02d}:{m:02d}:00", f"s{(h + n) % 4}", float(h * n + m)) for h in range(24) for m in (0, 7)]
+        times = [(h, m) for h in range(24) for m in (0, 7)]
+        new = [(f"2024-01-0{n + 1} {h:02d}:{m:02d}:00", f"s{(h + n) % 4}", float(h * n + m)) for h, m in times]
         rows += new
         put_air(spark, tmp_path / "in", new)
-        query = health.track_health(air_stream(spark, tmp_path / "in"), str(tmp_path / "kept"), str(tmp_path / "cp"), last=20)
+        source = air_stream(spark, tmp_path / "in")
+        query = health.track_health(source, str(tmp_path / "kept"), str(tmp_path / "cp"), last=20)
         query.awaitTermination()
         got = health.current_health(spark, str(tmp_path / "kept"), query.id)
         batch = spark.read.schema(AIR.schema).parquet(str(tmp_path / "in"))
