@@ -64,22 +64,18 @@ threshold_breaches AS (
            {num("avg_pm25 - 35.0", 2)} AS amount_over, 'PM2.5' AS pollutant
     FROM air_quality_hourly WHERE avg_pm25 > 35.0
 ),
-recent AS (
-    SELECT * FROM (
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY sensor_id ORDER BY ts DESC) AS rn FROM raw_air
-    ) WHERE rn <= 200
-),
-per_sensor AS (
+recent_means AS (
     SELECT sensor_id, zone_id, COUNT(*) AS recent_readings, {num("AVG(pm25_level)", 2)} AS recent_avg_pm25
-    FROM recent GROUP BY 1, 2
+    FROM (SELECT * FROM raw_air QUALIFY ROW_NUMBER() OVER (PARTITION BY sensor_id ORDER BY ts DESC) <= 200)
+    GROUP BY sensor_id, zone_id
 ),
-fleet AS (SELECT AVG(recent_avg_pm25) AS mean, STDDEV_SAMP(recent_avg_pm25) AS sd FROM per_sensor),
 sensor_health AS (
-    SELECT sensor_id, zone_id, recent_readings, recent_avg_pm25,
-           CASE WHEN recent_avg_pm25 = 0 THEN 'CRITICAL - dead (reads zero)'
-                WHEN recent_avg_pm25 > mean + sd THEN 'WARNING - drift (abnormally high)'
-                ELSE 'HEALTHY' END AS health_status
-    FROM per_sensor CROSS JOIN fleet
+    SELECT *, CASE
+        WHEN recent_avg_pm25 = 0 THEN 'CRITICAL - dead (reads zero)'
+        WHEN recent_avg_pm25 > AVG(recent_avg_pm25) OVER () + STDDEV_SAMP(recent_avg_pm25) OVER ()
+            THEN 'WARNING - drift (abnormally high)'
+        ELSE 'HEALTHY' END AS health_status
+    FROM recent_means
 ),
 joined_hours AS (
     SELECT t.zone_id, t.hour, t.total_vehicles, a.avg_pm25

@@ -8,16 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hourly_buckets(
-    df: DataFrame, aggs: Sequence[Column], keys: Sequence[str] = ("zone_id",), ts: str = "timestamp"
-) -> DataFrame:
-    """Aggregate a stream per key and hour: ``keys, bucket, aggs``.
-
-    The bucket is a window, which carries the stream's watermark.
-    """
-    return df.groupBy(*keys, F.window(ts, "1 hour").alias("bucket")).agg(*aggs)
-
-
 def hourly_rollup(
     df: DataFrame, aggs: Sequence[Column], keys: Sequence[str] = ("zone_id",), ts: str = "timestamp"
 ) -> DataFrame:
@@ -27,10 +17,12 @@ def hourly_rollup(
     arithmetic, the same in every session time zone. Every aggregate has a partial
     form, so a task ships one row per (key, hour) it saw, however many readings a
     hot zone has. A batch result is partitioned by (keys, hour), as joins of hourly
-    models on these columns want it.
+    models on these columns want it; a stream is grouped by the window itself,
+    which carries its watermark.
     """
-    if df.isStreaming:
-        buckets = hourly_buckets(df, aggs, keys, ts)
-        values = [c for c in buckets.columns if c not in (*keys, "bucket")]
-        return buckets.select(*keys, F.col("bucket.start").alias("hour"), *values)
-    return df.withColumn("hour", F.window(ts, "1 hour").getField("start")).groupBy(*keys, "hour").agg(*aggs)
+    window = F.window(ts, "1 hour")
+    if not df.isStreaming:
+        return df.withColumn("hour", window.getField("start")).groupBy(*keys, "hour").agg(*aggs)
+    buckets = df.groupBy(*keys, window.alias("bucket")).agg(*aggs)
+    values = [c for c in buckets.columns if c not in (*keys, "bucket")]
+    return buckets.select(*keys, F.col("bucket.start").alias("hour"), *values)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import round_numeric
-from ..operators.rollup import hourly_buckets
+from ..operators.rollup import hourly_rollup
 from ..session import SESSION_MERGE
 from .ingest import start
 
@@ -27,19 +27,31 @@ def hourly_stream(
 
 
 def joined_hours_stream(raw_traffic: DataFrame, raw_air: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Traffic totals and mean PM2.5 of each hour, once final in both streams.
+    """Traffic totals and mean PM2.5 of the hours both streams have, once final in both.
 
-    Joined on the bucket itself, so the join's state is dropped as the watermark
-    passes. Correlate what it has written with ``correlate_hours``.
+    Two aggregates joined on their own key are one aggregate over both inputs that
+    keeps the hours seen on both sides: one shuffle and one state store instead of
+    the two of the aggregates and the four of a stream join. The slower stream's
+    watermark decides. Correlate what it has written with ``correlate_hours``.
     """
-    traffic = hourly_buckets(
-        raw_traffic.withWatermark("timestamp", delay), [F.sum("vehicle_count").alias("total_vehicles")]
+    key = ["zone_id", "timestamp"]
+    traffic = raw_traffic.withWatermark("timestamp", delay).select(
+        *key, F.lit(True).alias("of_traffic"), "vehicle_count", F.lit(None).cast("double").alias("pm25_level")
     )
-    air = hourly_buckets(
-        raw_air.withWatermark("timestamp", delay), [round_numeric(F.avg("pm25_level"), 2).alias("avg_pm25")]
+    air = raw_air.withWatermark("timestamp", delay).select(
+        *key, F.lit(False).alias("of_traffic"), F.lit(None).cast("int").alias("vehicle_count"), "pm25_level"
     )
-    joined = traffic.join(air, ["zone_id", "bucket"], "inner")
-    return joined.select("zone_id", F.col("bucket.start").alias("hour"), "total_vehicles", "avg_pm25")
+    hours = hourly_rollup(
+        traffic.unionByName(air),
+        [
+            F.sum("vehicle_count").alias("total_vehicles"),
+            round_numeric(F.avg("pm25_level"), 2).alias("avg_pm25"),
+            F.count_if("of_traffic").alias("_traffic"),
+            F.count("*").alias("_all"),
+        ],
+    )
+    both = (F.col("_traffic") > 0) & (F.col("_traffic") < F.col("_all"))
+    return hours.filter(both).select("zone_id", "hour", "total_vehicles", "avg_pm25")
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

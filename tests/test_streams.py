@@ -221,14 +221,27 @@ def test_sessions_end_when_a_sensor_falls_silent(spark, tmp_path):
     assert [(r.sensor_id, r.readings, r.last_seen.minute) for r in rows] == [("s", 2, 20)]
 
 
-def test_joined_hours_drop_their_state(spark, tmp_path):
-    """Joined on the bucket, so old hours do not stay in the join's state."""
-    put_air(spark, tmp_path / "air", [(f"2024-01-01 {h:02d}:30:00", "s", float(h)) for h in range(10)])
-    traffic = air_stream(spark, tmp_path / "air").withColumn("vehicle_count", F.col("pm25_level").cast("int"))
+def test_joined_hours_are_those_of_both_streams(spark, tmp_path):
+    hours = [(f"2024-01-01 {h:02d}:{m}:00", "s", float(h)) for h in range(10) for m in (10, 40)]
+    put_air(spark, tmp_path / "air", [r for r in hours if "03:" not in r[0]])
+    put_air(spark, tmp_path / "traffic", [r for r in hours if "05:" not in r[0]])
+    level = F.col("pm25_level")
+    traffic = air_stream(spark, tmp_path / "traffic").withColumn("vehicle_count", F.when(level != 7, level.cast("int")))
     out = rollups.joined_hours_stream(traffic, air_stream(spark, tmp_path / "air"), "1 minute")
     query = rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp"))
     query.awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted((r.hour.hour, r.total_vehicles) for r in rows) == [(h, h) for h in range(9)]
-    kept = [s["numRowsTotal"] for s in query.lastProgress["stateOperators"] if "Join" in s["operatorName"]]
-    assert kept == [0]
+    # Hours 3 and 5 are on one side only, hour 9 is still open; hour 7 has traffic without counts.
+    want = [(h, None if h == 7 else 2 * h, h) for h in (0, 1, 2, 4, 6, 7, 8)]
+    assert sorted((r.hour.hour, r.total_vehicles, int(r.avg_pm25)) for r in rows) == want
+    # Closed hours leave the state: it holds hour 9 alone.
+    assert [s["numRowsTotal"] for s in query.lastProgress["stateOperators"]] == [1]
+
+
+def test_joined_hours_wait_for_the_slower_stream(spark, tmp_path):
+    put_air(spark, tmp_path / "air", [("2024-01-01 00:10:00", "s", 1.0), ("2024-01-01 00:50:00", "s", 1.0)])
+    put_air(spark, tmp_path / "traffic", [("2024-01-01 00:10:00", "s", 1.0), ("2024-01-01 09:00:00", "s", 1.0)])
+    traffic = air_stream(spark, tmp_path / "traffic").withColumn("vehicle_count", F.lit(1))
+    out = rollups.joined_hours_stream(traffic, air_stream(spark, tmp_path / "air"), "1 minute")
+    rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.schema(out.schema).parquet(str(tmp_path / "out")).count() == 0
