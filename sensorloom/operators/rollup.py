@@ -18,7 +18,8 @@ def hourly_rollup(
     form, so a task ships one row per (key, hour) it saw, however many readings a
     hot zone has. A batch result is partitioned by (keys, hour), as joins of hourly
     models on these columns want it; a stream is grouped by the window itself,
-    which carries its watermark.
+    which carries its watermark. A row without a time, which raw tables do not
+    admit, is in no hour.
     """
     window = F.window(ts, "1 hour")
     if not df.isStreaming:

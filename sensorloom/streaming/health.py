@@ -13,27 +13,27 @@ from .ingest import query_id, start
 COLUMNS = ["sensor_id", "zone_id", "timestamp", "pm25_level"]
 
 
-def _slot(base: str, query: str, number: int) -> str:
-    return f"{base.rstrip('/')}/{query}/slot{number % 2}"
+def _slot(base: str, query: str, kind: str, number: int) -> str:
+    return f"{base.rstrip('/')}/{query}/{kind}{number % 2}"
 
 
 def keep_newest(batch: DataFrame, base: str, number: int, last: int = 200) -> None:
     """Merge a micro-batch into the kept readings of its stream.
 
     Batch N reads what batch N-1 left in one slot and overwrites the other, so a
-    batch that is run again starts from the same rows. The kept table has at most
-    ``last`` rows per sensor and is rewritten each time: choose the trigger with
-    that in mind.
+    batch that is run again starts from the same rows. A one-row mark follows once
+    the slot is complete. The kept table has at most ``last`` rows per sensor and is
+    rewritten each time: choose the trigger with that in mind.
     """
-    query = query_id(batch)
+    spark, query = batch.sparkSession, query_id(batch)
     rows = batch.select(*COLUMNS)
     if number > 0:
-        kept = batch.sparkSession.read.schema(rows.schema).parquet(_slot(base, query, number - 1))
+        kept = spark.read.schema(rows.schema).parquet(_slot(base, query, "kept", number - 1))
         rows = kept.unionByName(rows)
     newest = last_n(rows, "sensor_id", newest_first("timestamp"), last)
-    newest.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(
-        _slot(base, query, number)
-    )
+    newest.write.mode("overwrite").parquet(_slot(base, query, "kept", number))
+    mark = spark.range(1).select(F.lit(number).cast("long").alias("batch"))
+    mark.coalesce(1).write.mode("overwrite").parquet(_slot(base, query, "done", number))
 
 
 def track_health(
@@ -48,7 +48,12 @@ def track_health(
 
 
 def current_health(spark: SparkSession, base: str, query: str, n_stddev: float = 1.0) -> DataFrame:
-    """Sensor health as of the last finished micro-batch of a stream, by its query id."""
-    slots = spark.read.parquet(f"{base.rstrip('/')}/{query}/slot*")
-    newest = slots.agg(F.max("batch").alias("batch"))
-    return classify_sensors(slots.filter(F.col("batch") == newest.scalar()), n_stddev)
+    """Sensor health as of the last finished micro-batch of a stream, by its query id.
+
+    Marks may be under replacement, the slot the newest mark names is not. A read
+    that lasts until the stream comes back to that slot fails; it never returns part
+    of the sensors.
+    """
+    marks = spark.read.option("ignoreMissingFiles", "true").schema("batch bigint")
+    number = marks.parquet(f"{base.rstrip('/')}/{query}/done*").agg(F.max("batch")).head()[0]
+    return classify_sensors(spark.read.parquet(_slot(base, query, "kept", number)), n_stddev)

@@ -26,8 +26,15 @@ def start(writer, checkpoint: str, every: str | None) -> StreamingQuery:
 
 
 def query_id(batch: DataFrame) -> str:
-    """Identity of the running stream; it belongs to the checkpoint and outlives restarts."""
-    return batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "stream"
+    """Identity of the running stream; it belongs to the checkpoint and outlives restarts.
+
+    Batch numbers start again with a new checkpoint. Without the identity a batch
+    could replace one of an earlier stream, so there is no default for it.
+    """
+    found = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+    if not found:
+        raise RuntimeError(f"{QUERY_ID} is not set: call this in a foreachBatch function")
+    return found
 
 
 def drop_repeats(decoded: DataFrame, delay: str) -> DataFrame:

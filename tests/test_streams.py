@@ -209,7 +209,34 @@ def test_streaming_health_equals_batch_after_each_batch(spark, tmp_path):
         got = health.current_health(spark, str(tmp_path / "kept"), query.id)
         batch = spark.read.schema(AIR.schema).parquet(str(tmp_path / "in"))
         assert sorted(got.collect()) == sorted(models.sensor_health(batch, last=20).collect())
-    assert len(list((tmp_path / "kept" / str(query.id)).iterdir())) == 2
+    folder = tmp_path / "kept" / str(query.id)
+    assert sorted(p.name for p in folder.iterdir()) == ["done0", "done1", "kept0", "kept1"]
+
+
+def test_health_of_an_unfinished_batch_is_not_read(spark, tmp_path, monkeypatch):
+    put_air(spark, tmp_path / "in", [("2024-01-01 00:00:00", "s1", 5.0)])
+
+    def track():
+        return health.track_health(air_stream(spark, tmp_path / "in"), str(tmp_path / "kept"), str(tmp_path / "cp"))
+
+    query = track()
+    query.awaitTermination()
+    put_air(spark, tmp_path / "in", [("2024-01-01 00:00:05", "s2", 7.0)])
+    real = health._slot
+
+    def fails_on_marks(base, name, kind, number):
+        if kind == "done":
+            raise RuntimeError("lost")
+        return real(base, name, kind, number)
+
+    with monkeypatch.context() as patch, pytest.raises(StreamingQueryException):
+        patch.setattr(health, "_slot", fails_on_marks)
+        track().awaitTermination()
+    sensors = [r.sensor_id for r in health.current_health(spark, str(tmp_path / "kept"), query.id).collect()]
+    assert sensors == ["s1"]
+    track().awaitTermination()
+    rows = health.current_health(spark, str(tmp_path / "kept"), query.id).collect()
+    assert sorted((r.sensor_id, r.recent_readings) for r in rows) == [("s1", 1), ("s2", 1)]
 
 
 def test_sessions_end_when_a_sensor_falls_silent(spark, tmp_path):
