@@ -14,7 +14,7 @@ from .functions.times import as_utc_instant, as_utc_ntz
 from .operators.expected import expected_levels
 from .operators.silence import reading_gaps, silent_sensors
 from .plans import models, panels
-from .plans.pipeline import refresh_models
+from .plans.refresh import refresh_models
 from .plans.suites import quality_models, quality_raw
 from .schemas import AIR, ENERGY, KINDS, Kind
 from .session import scratch_dir

@@ -6,6 +6,7 @@ Timestamps are UTC instants; a TIMESTAMP_NTZ column is taken as UTC wall time.
 from __future__ import annotations
 
 import math
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,15 @@ def is_ntz(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.TimestampNTZType)
 
 
+def moment(value: Column | datetime, ntz: bool = False) -> Column:
+    """A bound to compare timestamps with; a datetime without a zone is UTC."""
+    if not isinstance(value, datetime):
+        return value
+    wall = value.astimezone(timezone.utc) if value.tzinfo else value
+    text = wall.strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.expr(f"TIMESTAMP_NTZ '{text}'" if ntz else f"TIMESTAMP '{text}+00:00'")
+
+
 def utc_day(ts: Column, ntz: bool = False) -> Column:
     """UTC date of a timestamp."""
     if ntz:

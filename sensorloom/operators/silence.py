@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.times import seconds_between
+from ..functions.times import is_ntz, moment, seconds_between
 
 
 def silent_sensors(
-    raw: DataFrame, now: Column | None = None, max_gap: timedelta = timedelta(hours=1), ts: str = "timestamp"
+    raw: DataFrame,
+    now: Column | datetime | None = None,
+    max_gap: timedelta = timedelta(hours=1),
+    ts: str = "timestamp",
 ) -> DataFrame:
     """Sensors whose newest reading is more than ``max_gap`` before ``now``."""
-    now = F.current_timestamp() if now is None else now
+    now = moment(F.current_timestamp() if now is None else now, is_ntz(raw, ts))
     return (
         raw.groupBy("sensor_id")
         .agg(F.max(ts).alias("last_seen"))

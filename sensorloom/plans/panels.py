@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import is_ntz, utc_day
+from ..functions.times import is_ntz, moment, utc_day
 
 
 def recent(
     raw: DataFrame,
     value: str,
-    now: Column | None = None,
+    now: Column | datetime | None = None,
     horizon: timedelta = timedelta(hours=1),
     ts: str = "timestamp",
 ) -> DataFrame:
@@ -22,11 +22,11 @@ def recent(
     On a table partitioned by day the bound is put on ``day`` as well, which is
     what prunes partitions.
     """
-    now = F.current_timestamp() if now is None else now
-    start = now - F.lit(horizon)
+    ntz = is_ntz(raw, ts)
+    start = moment(F.current_timestamp() if now is None else now, ntz) - F.lit(horizon)
     fresh = raw.filter(F.col(ts) > start)
     if "day" in raw.columns:
-        fresh = fresh.filter(F.col("day") >= utc_day(start, is_ntz(raw, ts)))
+        fresh = fresh.filter(F.col("day") >= utc_day(start, ntz))
     return fresh.select(F.col(ts).alias("time"), value, "zone_id").orderBy(F.asc_nulls_last("time"))
 
 

@@ -1,7 +1,8 @@
 """Raw tables derived from an ``events`` table.
 
 Users stand in for sensors: four zones, three sensors each. One air sensor reads
-zero, one reads three times too high and one falls silent near the end.
+zero, one reads three times too high and one falls silent near the end, as
+FIXTURES.md specifies.
 """
 
 from __future__ import annotations

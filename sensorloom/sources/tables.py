@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import is_ntz, utc_day
+from ..functions.times import is_ntz, moment, utc_day
 from ..schemas import KINDS, Kind, stored_schema
 
 
@@ -67,13 +67,15 @@ def between(
     ntz = is_ntz(df, ts)
     by_day = "day" in df.columns
     if start is not None:
-        start = start if isinstance(start, Column) else F.lit(start)
+        start = moment(start, ntz)
         df = df.filter(F.col(ts) >= start)
         df = df.filter(F.col("day") >= utc_day(start, ntz)) if by_day else df
     if end is not None:
-        end = end if isinstance(end, Column) else F.lit(end)
+        end = moment(end, ntz)
         df = df.filter(F.col(ts) < end)
-        df = df.filter(F.col("day") <= utc_day(end, ntz)) if by_day else df
+        # Midnight itself is out of the range, and so is its day.
+        last = end - F.expr("INTERVAL '0.000001' SECOND")
+        df = df.filter(F.col("day") <= utc_day(last, ntz)) if by_day else df
     return df
 
 
@@ -114,8 +116,8 @@ def refresh_days(
     ``raw`` has a ``day`` column. Whole days are read and whole days replaced, so
     the result equals a full refresh as long as older days did not change.
     """
-    start = start if isinstance(start, Column) else F.lit(start)
-    hours = model(raw.filter(F.col("day") >= utc_day(start, is_ntz(raw, "timestamp"))))
+    ntz = is_ntz(raw, "timestamp")
+    hours = model(raw.filter(F.col("day") >= utc_day(moment(start, ntz), ntz)))
     (
         hours.withColumn("day", utc_day(F.col("hour"), is_ntz(hours, "hour")))
         .write.mode("overwrite")

@@ -239,8 +239,12 @@ def test_gaps_equal_brute_force(spark, air):
 
 def test_silence_is_strict(spark, air):
     raw = air([(at(0), "s1", "a", 1.0), (at(1), "s2", "a", 1.0)])
-    now = F.lit(dt.datetime(2024, 1, 1, 1, 0, 1))
-    assert [r.sensor_id for r in silent_sensors(raw, now, dt.timedelta(hours=1)).collect()] == ["s1"]
+    hour = dt.timedelta(hours=1)
+    east = dt.timezone(dt.timedelta(hours=2))
+    for now in (dt.datetime(2024, 1, 1, 1, 0, 1), dt.datetime(2024, 1, 1, 3, 0, 1, tzinfo=east)):
+        assert [r.sensor_id for r in silent_sensors(raw, now, hour).collect()] == ["s1"]
+        wall = raw.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        assert [r.sensor_id for r in silent_sensors(wall, now, hour).collect()] == ["s1"]
 
 
 def test_diurnal_factor(spark):

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sensorloom.plans import models, panels
-from sensorloom.plans.pipeline import refresh_models
+from sensorloom.plans.refresh import refresh_models
 from sensorloom.plans.suites import quality_models
 from sensorloom.schemas import AIR, KINDS
 from sensorloom.sources import tables
@@ -37,8 +37,10 @@ def test_range_reads_prune_days(spark, air, tmp_path):
     raw = tables.read_raw(spark, base, AIR, dt.datetime(2024, 1, 3, 1), dt.datetime(2024, 1, 5))
     assert sorted(r.timestamp.day for r in raw.collect()) == [3, 4, 4]
     text = plan(raw)
+    # The end is midnight: the fifth is not read.
+    assert ">= 2024-01-03" in text and "<= 2024-01-04" in text
     assert "PartitionFilters: [isnotnull(day" in text and "PushedFilters: [IsNotNull(timestamp), GreaterThan" in text
-    panel = panels.recent_air(tables.read_raw(spark, base, AIR), now=F.lit(dt.datetime(2024, 1, 5)))
+    panel = panels.recent_air(tables.read_raw(spark, base, AIR), now=dt.datetime(2024, 1, 5))
     assert panel.head().time == dt.datetime(2024, 1, 5)
     assert "PartitionFilters: [isnotnull(day" in plan(panel)
 
