@@ -19,7 +19,7 @@ from .plans.suites import quality_models, quality_raw
 from .schemas import AIR, ENERGY, KINDS, Kind
 from .session import scratch_dir
 from .sources.events import raw_from_events, read_events, stream_events
-from .sources.tables import append_raw, read_raw, refresh_days
+from .sources.tables import append_raw, read_raw, refresh_days, save_files
 from .sources.topics import decode, publish
 from .streaming.health import current_health, track_health
 from .streaming.ingest import QUARANTINE, ingest
@@ -95,7 +95,8 @@ def raw_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_models(refresh_models(raws(spark, sf_dir), scratch_dir(spark, "models")))
+    base = scratch_dir(spark, "models")
+    return quality_models(refresh_models(raws(spark, sf_dir), lambda df, name: save_files(df, base, name)))
 
 
 def silence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,13 @@
-"""A full refresh of all models into files, parents before children."""
+"""A full refresh of all models, parents before children."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
 
-from ..sources.tables import save_files
+from pyspark.sql import DataFrame, SparkSession
+
+from ..schemas import KINDS
+from ..sources.tables import save_table
 from .models import (
     air_quality_hourly,
     energy_hourly,
@@ -15,25 +18,28 @@ from .models import (
 )
 
 
-def refresh_models(raw: dict[str, DataFrame], base: str, ts: str = "timestamp") -> dict[str, DataFrame]:
-    """Write each model once and return the saved ones.
+def refresh_models(
+    raw: dict[str, DataFrame], save: Callable[[DataFrame, str], DataFrame], ts: str = "timestamp"
+) -> dict[str, DataFrame]:
+    """Save each model once with ``save(df, name)`` and return the saved ones.
 
     The raw tables are read by the models on them only; breaches and the
     correlation read the saved hourly models.
     """
-    air = save_files(air_quality_hourly(raw["raw_air_quality"], ts), base, "air_quality_hourly")
-    traffic = save_files(traffic_hourly(raw["raw_traffic"], ts), base, "traffic_hourly")
-    energy = save_files(energy_hourly(raw["raw_energy"], ts), base, "energy_hourly")
-    breaches = save_files(threshold_breaches(air), base, "threshold_breaches")
-    health = save_files(sensor_health(raw["raw_air_quality"], ts=ts), base, "sensor_health")
-    correlation = save_files(
-        traffic_pollution_correlation(traffic, air), base, "traffic_pollution_correlation"
+    saved = {}
+    saved["air_quality_hourly"] = air = save(air_quality_hourly(raw["raw_air_quality"], ts), "air_quality_hourly")
+    saved["traffic_hourly"] = traffic = save(traffic_hourly(raw["raw_traffic"], ts), "traffic_hourly")
+    saved["energy_hourly"] = save(energy_hourly(raw["raw_energy"], ts), "energy_hourly")
+    saved["threshold_breaches"] = save(threshold_breaches(air), "threshold_breaches")
+    saved["sensor_health"] = save(sensor_health(raw["raw_air_quality"], ts=ts), "sensor_health")
+    saved["traffic_pollution_correlation"] = save(
+        traffic_pollution_correlation(traffic, air), "traffic_pollution_correlation"
     )
-    return {
-        "air_quality_hourly": air,
-        "traffic_hourly": traffic,
-        "energy_hourly": energy,
-        "threshold_breaches": breaches,
-        "sensor_health": health,
-        "traffic_pollution_correlation": correlation,
-    }
+    return saved
+
+
+def refresh_tables(spark: SparkSession, database: str = "analytics") -> dict[str, DataFrame]:
+    """Save the models of the declared raw tables as tables of ``database``, for SQL readers."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    raw = {kind.table: spark.table(kind.table) for kind in KINDS.values()}
+    return refresh_models(raw, lambda df, name: save_table(df, f"{database}.{name}"))

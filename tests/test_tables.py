@@ -4,8 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from sensorloom.functions.times import as_utc_instant
 from sensorloom.plans import models, panels
-from sensorloom.plans.refresh import refresh_models
+from sensorloom.plans.refresh import refresh_models, refresh_tables
 from sensorloom.plans.suites import quality_models
 from sensorloom.schemas import AIR, KINDS
 from sensorloom.sources import tables
@@ -72,6 +73,34 @@ def test_declared_tables(spark, air, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {kind.table}")
 
 
+def test_sql_over_declared_tables_and_saved_models(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    raw = raw_from_events(read_events(spark, "/root/testdata/sf0.001"))
+    for kind in KINDS.values():
+        instants = raw[kind.table].withColumn("timestamp", as_utc_instant(F.col("timestamp")))
+        tables.append_raw(instants, base, kind, "load")
+    spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+    try:
+        tables.create_raw_tables(spark, base)
+        for _ in range(2):
+            saved = refresh_tables(spark, "analytics_test")
+        assert all(r.passed for r in quality_models(saved).collect())
+        health = spark.sql("""
+            SELECT sensor_id, recent_readings, recent_avg_pm25, health_status
+            FROM analytics_test.sensor_health ORDER BY health_status""").collect()
+        assert sorted(health) == sorted(panels.sensor_health_panel(models.build_model("sensor_health", raw)).collect())
+        recent = """SELECT "timestamp" AS time, kwh_consumed, zone_id FROM raw_energy
+            WHERE "timestamp" > TIMESTAMP '2024-01-31 00:00:00+00:00' - INTERVAL '1 day' ORDER BY "timestamp" """
+        panel = panels.recent_energy(spark.table("raw_energy"), now=dt.datetime(2024, 1, 31), horizon=dt.timedelta(1))
+        assert spark.sql(recent).collect() == panel.collect() != []
+        assert spark.sql("SELECT COUNT(*) FROM raw_air_quality").head()[0] == raw["raw_air_quality"].count()
+    finally:
+        spark.conf.unset("spark.sql.ansi.doubleQuotedIdentifiers")
+        spark.sql("DROP DATABASE IF EXISTS analytics_test CASCADE")
+        for kind in KINDS.values():
+            spark.sql(f"DROP TABLE IF EXISTS {kind.table}")
+
+
 def test_saved_table_is_refreshed_in_full(spark):
     try:
         tables.save_table(spark.range(5).toDF("id"), "saved_model")
@@ -96,13 +125,16 @@ def test_refresh_of_days_equals_full_refresh(spark, air, tmp_path):
 
 def test_refreshed_models_equal_unsaved_ones_and_pass_their_checks(spark, tmp_path):
     raw = raw_from_events(read_events(spark, "/root/testdata/sf0.001"))
-    saved = refresh_models(raw, str(tmp_path))
+    def save(df, name):
+        return tables.save_files(df, str(tmp_path), name)
+
+    saved = refresh_models(raw, save)
     for name, df in models.build_models(raw).items():
         assert sorted(saved[name].collect(), key=str) == sorted(df.collect(), key=str), name
     results = quality_models(saved).collect()
     assert len(results) == 14 and all(r.passed for r in results)
     # A second refresh replaces the first.
-    refresh_models(raw, str(tmp_path))
+    refresh_models(raw, save)
     assert spark.read.parquet(f"{tmp_path}/sensor_health").count() == 12
 
 
