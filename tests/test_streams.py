@@ -61,6 +61,14 @@ def count(spark, tmp_path, kind):
         (("sensor_air", "[1, 2]"), topics.BAD_JSON),
         (("sensor_air", ""), topics.BAD_JSON),
         (("sensor_air", None), topics.BAD_JSON),
+        (("sensor_air", message(AIR)[1] + " tail"), topics.BAD_JSON),
+        (("sensor_air", message(AIR)[1] + message(AIR)[1]), topics.BAD_JSON),
+        (("sensor_air", message(AIR)[1] + "," + message(AIR)[1]), topics.BAD_JSON),
+        (("sensor_air", message(AIR)[1].replace('"', "'")), topics.BAD_JSON),
+        (("sensor_air", message(AIR)[1].replace("}", ', "pm25_level": 2}')), None),
+        (("sensor_air", " " + message(AIR)[1] + "\n"), None),
+        (message(AIR, extra={"a": {"b": ["}{", {}, {"c": 'x"}'}]}}), None),
+        (message(AIR, zone_id='a}{"b'), None),
         (("sensor_noise", message(AIR)[1]), topics.UNKNOWN_TOPIC),
         ((None, message(AIR)[1]), topics.UNKNOWN_TOPIC),
     ],
@@ -94,6 +102,7 @@ def test_decode_bytes(spark):
     rows = [("sensor_air", bytearray(message(AIR)[1].encode())), ("sensor_air", bytearray(b'{"zone_id": "\xff"}'))]
     got = topics.decode(spark.createDataFrame(rows, "topic string, value binary")).collect()
     assert [r.problem for r in got] == [None, topics.BAD_JSON]
+    assert got[1].value == rows[1][1]
 
 
 def test_publish_writes_iso_times_and_nulls(spark):
