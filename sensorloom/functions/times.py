@@ -6,7 +6,7 @@ Timestamps are UTC instants; a TIMESTAMP_NTZ column is taken as UTC wall time.
 from __future__ import annotations
 
 import math
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,22 +41,52 @@ def utc_hour(ts: Column, ntz: bool = False) -> Column:
     return F.pmod(F.floor(F.unix_seconds(ts) / F.lit(3600)), F.lit(24)).cast("int")
 
 
+# Casts between TIMESTAMP and TIMESTAMP_NTZ, differences of TIMESTAMPs and
+# date_format all go through the session's local time, which skips and repeats hours
+# where clocks change. The helpers below count from the epoch instead.
+EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
 def as_utc_ntz(ts: Column) -> Column:
     """UTC wall time of an instant, as TIMESTAMP_NTZ."""
-    return F.to_utc_timestamp(ts, F.current_timezone()).cast("timestamp_ntz")
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
+    return F.expr(EPOCH) + F.make_dt_interval(secs=seconds)
+
+
+def as_utc_instant(wall: Column) -> Column:
+    """The instant of a UTC wall time given as TIMESTAMP_NTZ."""
+    return F.timestamp_seconds(_seconds(wall - F.expr(EPOCH)))
+
+
+def _seconds(interval: Column) -> Column:
+    return interval.cast("interval second").cast("decimal(20,6)")
 
 
-def seconds_between(start: Column, end: Column) -> Column:
+def seconds_between(start: Column, end: Column, ntz: bool = False) -> Column:
     """Seconds from ``start`` to ``end`` as a double."""
-    return (end - start).cast("interval second").cast("decimal(20,6)").cast("double")
+    if ntz:
+        return _seconds(end - start).cast("double")
+    return (F.unix_micros(end) - F.unix_micros(start)) / 1e6
+
+
+def shifted(ts: Column, by: timedelta, ntz: bool = False) -> Column:
+    """``ts`` moved by a fixed time; a day is 24 hours."""
+    if ntz:
+        return ts + F.lit(by)
+    return F.timestamp_micros(F.unix_micros(ts) + F.lit(by // timedelta(microseconds=1)))
 
 
 def iso_timestamp(ts: Column, ntz: bool = False) -> Column:
     """ISO-8601 text with ``+00:00``; microseconds only where they are not zero."""
-    wall = ts if ntz else as_utc_ntz(ts)
-    whole = F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(wall, ".SSSSSS")
-    return F.concat(whole, F.when(fraction == ".000000", "").otherwise(fraction), F.lit("+00:00"))
+    text = (ts if ntz else as_utc_ntz(ts)).cast("string")
+    fraction = F.substring(text, 20, 7)
+    return F.concat(
+        F.substring(text, 1, 10),
+        F.lit("T"),
+        F.substring(text, 12, 8),
+        F.when(fraction == "", "").otherwise(F.rpad(fraction, 7, "0")),
+        F.lit("+00:00"),
+    )
 
 
 def diurnal_factor(hour: Column) -> Column:
@@ -64,8 +94,3 @@ def diurnal_factor(hour: Column) -> Column:
     daily = F.sin((hour - 6) / 24 * (2 * math.pi))
     half_daily = F.sin((hour - 18) / 12 * (2 * math.pi))
     return F.lit(1.0) + 0.4 * daily + 0.4 * half_daily
-
-
-def as_utc_instant(wall: Column) -> Column:
-    """The instant of a UTC wall time given as TIMESTAMP_NTZ."""
-    return F.from_utc_timestamp(wall.cast("timestamp"), F.current_timezone())

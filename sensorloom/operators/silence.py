@@ -18,11 +18,12 @@ def silent_sensors(
     ts: str = "timestamp",
 ) -> DataFrame:
     """Sensors whose newest reading is more than ``max_gap`` before ``now``."""
-    now = moment(F.current_timestamp() if now is None else now, is_ntz(raw, ts))
+    ntz = is_ntz(raw, ts)
+    now = moment(F.current_timestamp() if now is None else now, ntz)
     return (
         raw.groupBy("sensor_id")
         .agg(F.max(ts).alias("last_seen"))
-        .withColumn("silent_seconds", seconds_between(F.col("last_seen"), now))
+        .withColumn("silent_seconds", seconds_between(F.col("last_seen"), now, ntz))
         .filter(F.col("silent_seconds") > max_gap.total_seconds())
     )
 
@@ -44,6 +45,5 @@ def reading_gaps(raw: DataFrame, max_gap: timedelta = timedelta(hours=1), ts: st
     gaps = cells.select(
         "sensor_id", F.lag("newest").over(before).alias("gap_start"), F.col("oldest").alias("gap_end")
     )
-    return gaps.withColumn("gap_seconds", seconds_between(F.col("gap_start"), F.col("gap_end"))).filter(
-        F.col("gap_seconds") > max_gap.total_seconds()
-    )
+    seconds = seconds_between(F.col("gap_start"), F.col("gap_end"), is_ntz(raw, ts))
+    return gaps.withColumn("gap_seconds", seconds).filter(F.col("gap_seconds") > max_gap.total_seconds())

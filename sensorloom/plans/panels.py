@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import is_ntz, moment, utc_day
+from ..functions.times import is_ntz, moment, shifted, utc_day
 
 
 def recent(
@@ -23,7 +23,7 @@ def recent(
     what prunes partitions.
     """
     ntz = is_ntz(raw, ts)
-    start = moment(F.current_timestamp() if now is None else now, ntz) - F.lit(horizon)
+    start = shifted(moment(F.current_timestamp() if now is None else now, ntz), -horizon, ntz)
     fresh = raw.filter(F.col(ts) > start)
     if "day" in raw.columns:
         fresh = fresh.filter(F.col("day") >= utc_day(start, ntz))

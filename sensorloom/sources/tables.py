@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import is_ntz, moment, utc_day
+from ..functions.times import is_ntz, moment, shifted, utc_day
 from ..schemas import KINDS, Kind, stored_schema
 
 
@@ -74,7 +74,7 @@ def between(
         end = moment(end, ntz)
         df = df.filter(F.col(ts) < end)
         # Midnight itself is out of the range, and so is its day.
-        last = end - F.expr("INTERVAL '0.000001' SECOND")
+        last = shifted(end, timedelta(microseconds=-1), ntz)
         df = df.filter(F.col("day") <= utc_day(last, ntz)) if by_day else df
     return df
 

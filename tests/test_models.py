@@ -13,7 +13,8 @@ from sensorloom.operators.expected import expected_levels
 from sensorloom.operators.recent import in_last_days, last_n
 from sensorloom.operators.silence import reading_gaps, silent_sensors
 from sensorloom.plans import models, panels
-from sensorloom.schemas import TRAFFIC
+from sensorloom.plans.suites import quality_raw
+from sensorloom.schemas import KINDS, TRAFFIC
 
 
 def at(seconds):
@@ -194,6 +195,16 @@ def test_correlation_drops_hours_missing_on_a_side(spark):
     assert (row.hours_compared, row.avg_vehicles, row.avg_pm25) == (1, Decimal(20), Decimal("1.00"))
 
 
+def test_models_of_empty_tables(spark):
+    raw = {kind.table: spark.createDataFrame([], kind.schema) for kind in KINDS.values()}
+    for name, df in models.build_models(raw).items():
+        assert models.in_order(name, df).collect() == [], name
+    with_day = raw["raw_air_quality"].withColumn("day", utc_day(F.col("timestamp")))
+    assert models.sensor_health(with_day).collect() == []
+    passed = [r.passed for r in quality_raw(raw).collect()]
+    assert passed.count(False) == 3 and passed.count(None) == 4
+
+
 def test_null_order_when_reading(spark):
     rows = [("a", None), ("b", 0.1), ("c", 0.9)]
     corr = spark.createDataFrame(rows, "zone_id string, traffic_pm25_correlation double")
