@@ -33,6 +33,11 @@ def create_raw_tables(spark: SparkSession, base: str) -> None:
         spark.sql(f"ALTER TABLE {kind.table} RECOVER PARTITIONS")
 
 
+def _stored(df: DataFrame, kind: Kind, batch: str) -> DataFrame:
+    day = utc_day(F.col("timestamp"), is_ntz(df, "timestamp"))
+    return df.select(*kind.columns, day.alias("day"), F.lit(batch).alias("batch"))
+
+
 def append_raw(df: DataFrame, base: str, kind: Kind, batch: str, rebalance: bool = False) -> None:
     """Add a batch of readings to a raw table; writing the same batch again replaces it.
 
@@ -40,11 +45,7 @@ def append_raw(df: DataFrame, base: str, kind: Kind, batch: str, rebalance: bool
     for large loads out of time order: it gathers days first, and adaptive
     execution splits the large ones and merges the small ones.
     """
-    rows = df.select(
-        *kind.columns,
-        utc_day(F.col("timestamp"), is_ntz(df, "timestamp")).alias("day"),
-        F.lit(batch).alias("batch"),
-    )
+    rows = _stored(df, kind, batch)
     if rebalance:
         rows = rows.hint("rebalance", "day")
     (
@@ -55,6 +56,21 @@ def append_raw(df: DataFrame, base: str, kind: Kind, batch: str, rebalance: bool
     )
 
 
+def append_declared(df: DataFrame, kind: Kind, batch: str) -> None:
+    """``append_raw`` through the declared table, so the catalog knows the new partitions.
+
+    Readers of the table then find its days in the catalog, without listing folders.
+    """
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    # insertInto takes the mode from the session alone.
+    spark.conf.set(mode, "dynamic")
+    try:
+        _stored(df, kind, batch).write.mode("overwrite").insertInto(kind.table)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def between(
     df: DataFrame, start: Column | datetime | None = None, end: Column | datetime | None = None,
     ts: str = "timestamp",

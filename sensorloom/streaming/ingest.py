@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import KINDS
-from ..sources.tables import append_raw, table_path
+from ..sources.tables import append_declared, append_raw, table_path
 from ..sources.topics import decode, readings, rejects
 
 QUARANTINE = "quarantine"
@@ -49,7 +49,9 @@ def drop_repeats(decoded: DataFrame, delay: str) -> DataFrame:
     return keyed.dropDuplicatesWithinWatermark(["_reading"]).drop("_reading")
 
 
-def write_batch(decoded: DataFrame, base: str, batch: str, on_bad: str = "quarantine") -> None:
+def write_batch(
+    decoded: DataFrame, base: str, batch: str, on_bad: str = "quarantine", declared: bool = False
+) -> None:
     """Route one micro-batch to the three raw tables and the quarantine.
 
     Each target keeps the rows in partitions named after the batch, so a batch run
@@ -64,7 +66,10 @@ def write_batch(decoded: DataFrame, base: str, batch: str, on_bad: str = "quaran
             if first is not None:
                 raise BadMessage(f"{first.problem} on {first.topic}: {first.value}")
         for kind in KINDS.values():
-            append_raw(readings(decoded, kind), base, kind, batch)
+            if declared:
+                append_declared(readings(decoded, kind), kind, batch)
+            else:
+                append_raw(readings(decoded, kind), base, kind, batch)
         (
             bad.withColumn("batch", F.lit(batch))
             .write.mode("overwrite")
@@ -78,13 +83,14 @@ def write_batch(decoded: DataFrame, base: str, batch: str, on_bad: str = "quaran
 
 def ingest(
     messages: DataFrame, base: str, checkpoint: str, every: str | None = None,
-    on_bad: str = "quarantine", dedupe: str | None = None,
+    on_bad: str = "quarantine", dedupe: str | None = None, declared: bool = False,
 ) -> StreamingQuery:
     """Run the ingest: a stream of ``topic, value`` into raw tables under ``base``.
 
     The checkpoint keeps the position in the topics. ``on_bad="fail"`` stops at the
     first micro-batch with a bad message instead of putting it in quarantine.
-    ``dedupe`` is a delay such as "10 minutes", see ``drop_repeats``.
+    ``dedupe`` is a delay such as "10 minutes", see ``drop_repeats``. ``declared``
+    writes through the tables ``create_raw_tables`` declared over ``base``.
     """
     if on_bad not in ("quarantine", "fail"):
         raise ValueError(f"on_bad: {on_bad}")
@@ -93,7 +99,7 @@ def ingest(
         decoded = drop_repeats(decoded, dedupe)
 
     def each(batch: DataFrame, number: int) -> None:
-        write_batch(batch, base, f"{query_id(batch)}-{number}", on_bad)
+        write_batch(batch, base, f"{query_id(batch)}-{number}", on_bad, declared)
 
     return start(decoded.writeStream.foreachBatch(each), checkpoint, every)
 

@@ -10,7 +10,7 @@ from pyspark.sql.utils import StreamingQueryException
 from sensorloom.plans import models
 from sensorloom.schemas import AIR, ENERGY, KINDS, TRAFFIC
 from sensorloom.sources import topics
-from sensorloom.sources.tables import read_raw
+from sensorloom.sources.tables import append_declared, create_raw_tables, read_raw
 from sensorloom.streaming import health, ingest, rollups
 
 T0 = "2024-01-01T00:00:00+00:00"
@@ -21,6 +21,10 @@ def message(kind, **changes):
     return kind.topic, json.dumps({k: v for k, v in values.items() if v != "absent"})
 
 
+def stream_rows(spark, rows):
+    return spark.createDataFrame(rows, "topic string, value string")
+
+
 def put(spark, folder, rows):
     """Add one file of messages to a stream's folder."""
     spark.createDataFrame(rows, "topic string, value string").coalesce(1).write.mode("append").parquet(str(folder))
@@ -162,6 +166,30 @@ def test_a_new_checkpoint_does_not_overwrite_older_batches(spark, tmp_path):
     assert count(spark, tmp_path, AIR) == 2
 
 
+def test_ingest_through_declared_tables(spark, tmp_path):
+    base = str(tmp_path / "out")
+    try:
+        create_raw_tables(spark, base)
+        put(spark, tmp_path / "in", [message(AIR), message(TRAFFIC), message(AIR, timestamp="2024-01-02T00:00:00Z")])
+        run(spark, tmp_path, declared=True)
+        put(spark, tmp_path / "in", [message(AIR, sensor_id="s2"), ("sensor_air", "xx")])
+        run(spark, tmp_path, declared=True)
+        # Batches of one day stay side by side, and the catalog knows them all.
+        assert spark.table("raw_air_quality").count() == count(spark, tmp_path, AIR) == 3
+        assert spark.table("raw_traffic").count() == 1
+        days = [r.partition.split("/")[0] for r in spark.sql("SHOW PARTITIONS raw_air_quality").collect()]
+        assert sorted(days) == ["day=2024-01-01", "day=2024-01-01", "day=2024-01-02"]
+        # A batch written again replaces itself alone.
+        again = topics.readings(topics.decode(stream_rows(spark, [message(AIR), message(AIR)])), AIR)
+        for _ in range(2):
+            append_declared(again, AIR, "again")
+        assert spark.table("raw_air_quality").count() == 5
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    finally:
+        for kind in KINDS.values():
+            spark.sql(f"DROP TABLE IF EXISTS {kind.table}")
+
+
 def test_fail_mode_stops_before_writing(spark, tmp_path):
     put(spark, tmp_path / "in", [message(AIR), ("sensor_air", "xx")])
     with pytest.raises(StreamingQueryException, match="bad_json"):
