@@ -215,7 +215,9 @@ HAVING MAX(ts) + INTERVAL 6 HOUR <= (SELECT MAX(ts) FROM raw_air) - INTERVAL 10
 
 GAPS = """
 SELECT sensor_id, gap_start, gap_end, (epoch_us(gap_end) - epoch_us(gap_start)) / 1000000 AS gap_seconds
-FROM (SELECT sensor_id, LAG(ts) OVER (PARTITION BY sensor_id ORDER BY ts) AS gap_start, ts AS gap_end FROM raw_air)
+FROM (
+    SELECT sensor_id, ts AS gap_end, LAG(ts) OVER (PARTITION BY sensor_id ORDER BY ts) AS gap_start FROM raw_air
+)
 WHERE gap_end - gap_start > INTERVAL 3 HOUR"""
 
 

@@ -4,8 +4,8 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
-from pyspark.sql.utils import StreamingQueryException
 
 from sensorloom.plans import models
 from sensorloom.schemas import AIR, ENERGY, KINDS, TRAFFIC
@@ -119,6 +119,20 @@ def test_publish_writes_iso_times_and_nulls(spark):
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
 
 
+def test_kafka_needs_its_connector(spark, tmp_path):
+    """The connector is absent here: the calls get as far as looking for it."""
+    rows = stream_rows(spark, [message(AIR)])
+    put(spark, tmp_path / "in", [message(AIR)])
+    calls = [
+        lambda: topics.kafka_source(spark, "broker:9092", max_per_trigger=1000, min_partitions=16, failOnDataLoss="false"),
+        lambda: topics.kafka_sink(rows, "broker:9092"),
+        lambda: topics.kafka_stream_sink(stream(spark, tmp_path / "in"), "broker:9092", str(tmp_path / "cp")),
+    ]
+    for call in calls:
+        with pytest.raises(AnalysisException, match="kafka"):
+            call()
+
+
 def test_ingest_routes_and_quarantines(spark, tmp_path):
     put(spark, tmp_path / "in", [message(AIR), message(TRAFFIC), message(TRAFFIC, sensor_id="t"), message(ENERGY),
                                  message(AIR, zone_id=None), ("other", "{}"), ("sensor_air", "xx")])
