@@ -207,7 +207,8 @@ marked AS (
     FROM raw_air WINDOW w AS (PARTITION BY sensor_id ORDER BY ts)
 ),
 numbered AS (
-    SELECT *, SUM(opens) OVER (PARTITION BY sensor_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM marked
+    SELECT *, SUM(opens) OVER (PARTITION BY sensor_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run
+    FROM marked
 )
 SELECT sensor_id, COUNT(*) AS readings, MIN(ts) AS first_seen, MAX(ts) AS last_seen
 FROM numbered GROUP BY sensor_id, run
@@ -245,7 +246,8 @@ def oracle_sql() -> dict[str, str]:
         "quality_raw": quality_raw(),
         "quality_models": quality_models(),
         "silent_sensors": raw(
-            f"SELECT sensor_id, MAX(ts) AS last_seen, (epoch_us({NOW}) - epoch_us(MAX(ts))) / 1000000 AS silent_seconds "
+            "SELECT sensor_id, MAX(ts) AS last_seen, "
+            f"(epoch_us({NOW}) - epoch_us(MAX(ts))) / 1000000 AS silent_seconds "
             f"FROM raw_air GROUP BY 1 HAVING {NOW} - MAX(ts) > INTERVAL 1 DAY"
         ),
         "reading_gaps": raw(GAPS),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,23 +20,35 @@ from .models import (
 
 
 def refresh_models(
-    raw: dict[str, DataFrame], save: Callable[[DataFrame, str], DataFrame], ts: str = "timestamp"
+    raw: dict[str, DataFrame],
+    save: Callable[[DataFrame, str], DataFrame],
+    ts: str = "timestamp",
+    threads: int = 4,
 ) -> dict[str, DataFrame]:
     """Save each model once with ``save(df, name)`` and return the saved ones.
 
-    The raw tables are read by the models on them only; breaches and the
+    The raw tables are read by the models on them only, up to ``threads`` at a time so
+    that one job's last tasks do not leave the cluster idle. Breaches and the
     correlation read the saved hourly models.
     """
-    saved = {}
-    saved["air_quality_hourly"] = air = save(air_quality_hourly(raw["raw_air_quality"], ts), "air_quality_hourly")
-    saved["traffic_hourly"] = traffic = save(traffic_hourly(raw["raw_traffic"], ts), "traffic_hourly")
-    saved["energy_hourly"] = save(energy_hourly(raw["raw_energy"], ts), "energy_hourly")
-    saved["threshold_breaches"] = save(threshold_breaches(air), "threshold_breaches")
-    saved["sensor_health"] = save(sensor_health(raw["raw_air_quality"], ts=ts), "sensor_health")
-    saved["traffic_pollution_correlation"] = save(
-        traffic_pollution_correlation(traffic, air), "traffic_pollution_correlation"
-    )
-    return saved
+    air, traffic, energy = raw["raw_air_quality"], raw["raw_traffic"], raw["raw_energy"]
+    with ThreadPoolExecutor(threads) as pool:
+        saved = {
+            name: pool.submit(save, df, name)
+            for name, df in (
+                ("air_quality_hourly", air_quality_hourly(air, ts)),
+                ("traffic_hourly", traffic_hourly(traffic, ts)),
+                ("energy_hourly", energy_hourly(energy, ts)),
+                ("sensor_health", sensor_health(air, ts=ts)),
+            )
+        }
+        air_hours, traffic_hours = saved["air_quality_hourly"].result(), saved["traffic_hourly"].result()
+        for name, df in (
+            ("threshold_breaches", threshold_breaches(air_hours)),
+            ("traffic_pollution_correlation", traffic_pollution_correlation(traffic_hours, air_hours)),
+        ):
+            saved[name] = pool.submit(save, df, name)
+        return {name: model.result() for name, model in saved.items()}
 
 
 def refresh_tables(spark: SparkSession, database: str = "analytics") -> dict[str, DataFrame]:

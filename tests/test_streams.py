@@ -124,7 +124,7 @@ def test_kafka_needs_its_connector(spark, tmp_path):
     rows = stream_rows(spark, [message(AIR)])
     put(spark, tmp_path / "in", [message(AIR)])
     calls = [
-        lambda: topics.kafka_source(spark, "broker:9092", max_per_trigger=1000, min_partitions=16, failOnDataLoss="false"),
+        lambda: topics.kafka_source(spark, "broker:9092", max_per_trigger=9, min_partitions=16, failOnDataLoss="false"),
         lambda: topics.kafka_sink(rows, "broker:9092"),
         lambda: topics.kafka_stream_sink(stream(spark, tmp_path / "in"), "broker:9092", str(tmp_path / "cp")),
     ]
