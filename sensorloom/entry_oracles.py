@@ -203,7 +203,7 @@ INGESTED = """
 
 SESSIONS = """,
 marked AS (
-    SELECT *, CASE WHEN ts - LAG(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
+    SELECT *, CASE WHEN ts - LAG(ts) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
     FROM raw_air WINDOW w AS (PARTITION BY sensor_id ORDER BY ts)
 ),
 numbered AS (

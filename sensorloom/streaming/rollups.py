@@ -62,9 +62,11 @@ def append_files(stream: DataFrame, path: str, checkpoint: str, every: str | Non
 def activity_sessions(raw: DataFrame, max_gap: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """Unbroken runs of readings per sensor: a run is emitted when the sensor has gone silent.
 
-    The state holds one row per open run. Readings are merged into runs in each task
-    first, so a hot sensor does not send all its readings to one.
+    Readings more than ``max_gap`` apart are in two runs. The state holds one row per
+    open run. Readings are merged into runs in each task first, so a hot sensor does
+    not send all its readings to one.
     """
+    # A setting of the session, read when the stream starts.
     raw.sparkSession.conf.set(SESSION_MERGE, "true")
     runs = raw.withWatermark("timestamp", delay).groupBy(
         "sensor_id", F.session_window("timestamp", max_gap).alias("run")

@@ -293,12 +293,24 @@ def test_health_of_an_unfinished_batch_is_not_read(spark, tmp_path, monkeypatch)
 
 
 def test_sessions_end_when_a_sensor_falls_silent(spark, tmp_path):
-    put_air(spark, tmp_path / "in", [("2024-01-01 00:00:00", "s", 1.0), ("2024-01-01 00:20:00", "s", 1.0),
-                                     ("2024-01-01 05:00:00", "t", 1.0)])
-    out = rollups.activity_sessions(air_stream(spark, tmp_path / "in"), "30 minutes", "1 minute")
-    rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert [(r.sensor_id, r.readings, r.last_seen.minute) for r in rows] == [("s", 2, 20)]
+    def run_sessions():
+        out = rollups.activity_sessions(air_stream(spark, tmp_path / "in"), "30 minutes", "1 minute")
+        rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+        rows = spark.read.parquet(str(tmp_path / "out")).collect()
+        return sorted((r.sensor_id, r.readings, str(r.first_seen.time()), str(r.last_seen.time())) for r in rows)
+
+    def send(*times):
+        put_air(spark, tmp_path / "in", [(f"2024-01-01 {time}", sensor, 1.0) for sensor, time in times])
+
+    # Half an hour apart is the same run, in a batch and across batches; a second more is not.
+    send(("s", "00:00:00"), ("s", "00:30:00"), ("t", "00:45:00"))
+    assert run_sessions() == []
+    send(("s", "01:00:00"), ("s", "01:30:01"), ("t", "01:15:00"))
+    assert run_sessions() == []
+    send(("u", "05:00:00"))
+    assert run_sessions() == [
+        ("s", 1, "01:30:01", "01:30:01"), ("s", 3, "00:00:00", "01:00:00"), ("t", 2, "00:45:00", "01:15:00")
+    ]
 
 
 def test_joined_hours_are_those_of_both_streams(spark, tmp_path):
