@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, pearson, round_numeric, to_numeric
+from ..functions.times import is_ntz, utc_day
 from ..operators.recent import in_last_days, last_n
 from ..operators.rollup import hourly_rollup
 
@@ -83,14 +84,22 @@ def newest_first(ts: str) -> list[Column]:
     return [F.desc_nulls_first(ts), F.desc_nulls_first("pm25_level"), F.asc_nulls_last("zone_id")]
 
 
-def recent_readings(raw_air: DataFrame, last: int = 200, ts: str = "timestamp") -> DataFrame:
+def recent_readings(
+    raw_air: DataFrame, last: int = 200, ts: str = "timestamp", by_day: bool | None = None
+) -> DataFrame:
     """The newest ``last`` readings of each sensor.
 
-    A table with a ``day`` partition column is first cut to the days that can hold
-    them, at the price of counting rows per sensor and day.
+    ``by_day`` first cuts the table to the days that can hold them, at the price of
+    counting rows per sensor and day. By default that is done where a ``day``
+    partition column saves reading the other days. Elsewhere it spares sorting them:
+    it pays if sensors have many more than ``last`` readings a day, and costs more
+    than it spares if they have fewer.
     """
     columns = ["sensor_id", "zone_id", ts, "pm25_level"]
-    if "day" in raw_air.columns:
+    by_day = "day" in raw_air.columns if by_day is None else by_day
+    if by_day:
+        if "day" not in raw_air.columns:
+            raw_air = raw_air.withColumn("day", utc_day(F.col(ts), is_ntz(raw_air, ts)))
         raw_air = in_last_days(raw_air.select(*columns, "day"), "sensor_id", last)
     return last_n(raw_air.select(*columns), "sensor_id", newest_first(ts), last)
 
@@ -118,10 +127,17 @@ def classify_sensors(recent: DataFrame, n_stddev: float = 1.0) -> DataFrame:
 
 
 def sensor_health(
-    raw_air: DataFrame, last: int = 200, n_stddev: float = 1.0, ts: str = "timestamp"
+    raw_air: DataFrame,
+    last: int = 200,
+    n_stddev: float = 1.0,
+    ts: str = "timestamp",
+    by_day: bool | None = None,
 ) -> DataFrame:
-    """Dead, drifting or healthy, per sensor, by its newest ``last`` readings."""
-    return classify_sensors(recent_readings(raw_air, last, ts), n_stddev)
+    """Dead, drifting or healthy, per sensor, by its newest ``last`` readings.
+
+    For ``by_day`` see ``recent_readings``.
+    """
+    return classify_sensors(recent_readings(raw_air, last, ts, by_day), n_stddev)
 
 
 def traffic_pollution_hours(traffic: DataFrame, air: DataFrame) -> DataFrame:

@@ -155,7 +155,11 @@ def test_in_last_days_keeps_what_last_n_needs(spark, air):
     kept = in_last_days(raw, "sensor_id", 30)
     assert {r.day.day for r in kept.select("day").distinct().collect()} == {1, 2, 3, 4, 5, 19, 20}
     plain = models.sensor_health(raw.drop("day"), last=30)
-    assert sorted(models.sensor_health(raw, last=30).collect()) == sorted(plain.collect())
+    want = sorted(plain.collect())
+    assert sorted(models.sensor_health(raw, last=30).collect()) == want
+    for by_day in (True, False):
+        assert sorted(models.sensor_health(raw, last=30, by_day=by_day).collect()) == want
+        assert sorted(models.sensor_health(raw.drop("day"), last=30, by_day=by_day).collect()) == want
 
 
 def hours(spark, pairs):
