@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,12 +36,17 @@ def spark_session(app: str = "sensorloom", **settings: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder all executors can reach, for stream checkpoints and tables.
 
-    Lies under the folder the session names in ``spark.checkpoint.dir``. Only a
-    local session may go without that setting and use a temporary folder.
+    Lies under the folder the session names in ``spark.checkpoint.dir``. A local
+    session may go without that setting and then uses its warehouse folder. The
+    folder is deleted when the session's JVM ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/sensorloom/{label}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    path = f"{root.rstrip('/')}/sensorloom/{label}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path

@@ -6,13 +6,15 @@ import pytest
 from compare import oracle_rows, spark_rows
 
 import __spark_entry__ as entry
+from sensorloom import entry_oracles, entry_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry_queries.QUERIES, entry_oracles.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
