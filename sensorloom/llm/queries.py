@@ -6,15 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorloom.llm import quality_fm, token_counts
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 
 
+def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counter = token_counts.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), counter)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_fm": op2_quality_fm,
+    "op3_token_counts": op3_token_counts,
     "op7_near_dedup": op7_near_dedup,
 }
 
