@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import quality_fm, token_counts
+from sensorloom.llm import hilbert_shards, quality_fm, token_counts
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 
@@ -22,6 +22,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), counter)
 
 
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.placed(table(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -29,6 +33,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_fm": op2_quality_fm,
     "op3_token_counts": op3_token_counts,
+    "op4_hilbert_shards": op4_hilbert_shards,
     "op7_near_dedup": op7_near_dedup,
 }
 
