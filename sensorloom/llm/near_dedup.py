@@ -8,10 +8,11 @@
 4. Candidates compare signatures batch by batch; one is dropped as soon as the posterior
    probability of reaching the threshold falls below `miss`.
 5. Each document's likeliest survivor is verified on the full sets.
-6. What this leaves apart is settled exactly: in every bucket that still holds several
-   components, the members outside its largest one meet all others, in blocks, under the
-   same Bayesian comparison, and every survivor is verified on full sets. Pairs inside a
-   component need no comparison, so the work stays far below all pairs.
+6. What this leaves apart is settled exactly. Surviving candidates between different
+   components are verified. In every bucket whose members other than the smallest still
+   lie in several components, the members outside its largest one meet the others in
+   blocks, under the same Bayesian comparison and then on full sets, within the task;
+   only links between components come out. Pairs inside a component need no comparison.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from sensorloom.llm.words import chunks, find_words, mix, seeded, shingle_hashes
 BANDS, ROWS = 25, 5
 BATCH = 25  # hashes compared before each look at the posterior
 BLOCK = 512  # members of a bucket compared at once in the last step
+PACK = 2048  # rows a task of the last step gets together, about
 
 
 @cache
@@ -118,15 +120,9 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint16).reshape(len(column), -1)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, label: str) -> DataFrame:
-    """Pairs (a, b) of doc_ids whose full sets reach the threshold.
-
-    Sets are made anew from the texts of the documents concerned alone.
-    """
-    pairs = written(pairs.select("a", "b").distinct(), f"{label}-pairs")
-    ids = written(
-        pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), f"{label}-ids"
-    )
+def full_sets(docs: DataFrame, ids: DataFrame, shingle: int, label: str) -> DataFrame:
+    """doc_id, members (the full set) of the documents in ids, made anew from their texts alone."""
+    ids = written(ids, f"{label}-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batches):
@@ -136,8 +132,14 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, labe
             )
 
     texts = only_ids(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), ids, "doc_id")
-    # Both ends of a pair share the smaller id; that end's set is joined last and is not copied before.
-    sets = written(texts.mapInArrow(run, "doc_id long, members array<long>"), f"{label}-sets")
+    return texts.mapInArrow(run, "doc_id long, members array<long>")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, label: str) -> DataFrame:
+    """Pairs (a, b) of doc_ids whose full sets reach the threshold."""
+    pairs = written(pairs.select("a", "b").distinct(), f"{label}-pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = written(full_sets(docs, ids, shingle, label), f"{label}-sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("of_a")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("of_b")), "b")
     shared = F.size(F.array_intersect("of_a", "of_b")).cast("long")
@@ -192,50 +194,76 @@ def near_duplicates(
     first = buckets.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     first = first.join(signatures.select(F.col("rep").alias("a"), F.col("signature").alias("of_a")), "a")
     first = first.join(signatures.select(F.col("rep").alias("b"), F.col("signature").alias("of_b")), "b")
-    likely = first.mapInPandas(compare, "a long, b long, matches int")
+    likely = written(first.mapInPandas(compare, "a long, b long, matches int"), "near-likely")
     best = likely.groupBy("a").agg(F.max(F.struct("matches", (-F.col("b")).alias("b"))).alias("best"))
     best = best.select("a", (-F.col("best.b")).alias("b"))
     linked = written(verified(docs, best, shingle, percent, "near-first"), "near-linked")
     joined = written(components(linked, "near-one"), "near-joined")
 
-    # Buckets that still hold several components.
-    placed = buckets.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    # What is still apart: survivors not yet verified, and buckets that hold several components.
+    of_a, of_b = (joined.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+    apart = likely.join(of_a, "a", "left").join(of_b, "b", "left").join(best, ["a", "b"], "left_anti")
+    apart = apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+    late = verified(docs, apart, shingle, percent, "near-apart")
+
+    placed = buckets.where("rep <> hub").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
     placed = placed.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    open_buckets = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-    open_buckets = open_buckets.groupBy("key").agg(
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+    parts = parts.groupBy("key").agg(
         F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("parts")
     ).where("parts > 1")
-    placed = placed.join(open_buckets.select("key", F.col("main.component").alias("main"), "all"), "key")
-    placed = placed.withColumn("light", F.col("component") != F.col("main"))
-    lights = placed.where("light").groupBy("key").agg(F.count("*").alias("lights"))
-    placed = written(placed.join(lights, "key").join(signatures, "rep"), "near-placed")
+    parts = parts.select("key", F.col("main.component").alias("main"), "all", (F.col("all") - F.col("main.size")).alias("lights"))
+    placed = written(placed.join(parts, "key"), "near-placed")
+    sets = full_sets(docs, placed.select(F.col("rep").alias("doc_id")).distinct(), shingle, "near-placed")
+    whole = placed.join(sets.withColumnRenamed("doc_id", "rep"), "rep").join(signatures, "rep")
     pieces = {c: F.ceil(F.col(c) / BLOCK).cast("int") for c in ("all", "lights")}
     own = {c: F.pmod(F.xxhash64("rep"), n).cast("int") for c, n in pieces.items()}
     every = {c: F.explode(F.sequence(F.lit(0), n - 1)) for c, n in pieces.items()}
-    columns = ["key", "rep", "component", "signature"]
-    queries = placed.where("light").select(
+    columns = ["key", "rep", "component", "signature", "members"]
+    queries = whole.where("component <> main").select(
         *columns, F.lit(True).alias("light"), own["lights"].alias("row"), every["all"].alias("column")
     )
-    others = placed.select(
+    others = whole.select(
         *columns, F.lit(False).alias("light"), every["lights"].alias("row"), own["all"].alias("column")
     )
-    meeting = queries.union(others)
+    packs = max(1, placed.count() // PACK)
+    meeting = queries.union(others).withColumn("pack", F.pmod(F.xxhash64("key", "row", "column"), F.lit(packs)))
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        """Light members against a block, pairs in one component left out."""
-        queries, rest = frame[frame.light], frame[~frame.light]
-        of_rest, found = _matrix(rest.signature), []
-        rest_ids, rest_parts = rest.rep.to_numpy(), rest.component.to_numpy()
-        for rep, part, signature in zip(queries.rep, queries.component, queries.signature, strict=True):
-            other = np.flatnonzero(rest_parts != part)
-            if len(other):
-                own = np.broadcast_to(np.frombuffer(signature, np.uint16), (len(other), of_rest.shape[1]))
-                alive, _ = _bayes(own, of_rest[other], least, BATCH)
-                found += [(max(rep, x), min(rep, x)) for x in rest_ids[other[alive]]]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-    rest = meeting.groupBy("key", "row", "column").applyInPandas(meet, "a long, b long").distinct()
-    late = written(verified(docs, rest, shingle, percent, "near-rest"), "near-late")
+        """Links between components that light members and blocks of others share."""
+        found: list[tuple[int, int]] = []
+        frame = frame.sort_values(["key", "row", "column", "light"], ignore_index=True)
+        signature = _matrix(frame.signature)
+        rep, part, members = frame.rep.to_numpy(), frame.component.to_numpy(), frame.members.to_list()
+        light, sizes = frame.light.to_numpy(), np.array([len(m) for m in members])
+        place = frame[["key", "row", "column"]].to_numpy()
+        cuts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1), len(frame)]
+        top: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while top.get(x, x) != x:
+                x = top[x]
+            return x
+
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            split = start + int(np.count_nonzero(~light[start:end]))
+            others = np.arange(start, split)
+            for q in range(split, end):
+                near = others[
+                    (part[others] != part[q])
+                    & (np.minimum(sizes[others], sizes[q]) * 100 >= np.maximum(sizes[others], sizes[q]) * percent)
+                ]
+                own = np.broadcast_to(signature[q], (len(near), signature.shape[1]))
+                alive, matches = _bayes(own, signature[near], least, BATCH)
+                for other in near[alive[np.argsort(-matches[alive])]]:
+                    if root(part[q]) != root(part[other]):
+                        shared = len(np.intersect1d(members[q], members[other], assume_unique=True))
+                        if shared * 100 >= (sizes[q] + sizes[other] - shared) * percent:
+                            top[root(part[q])] = root(part[other])
+                            found.append((rep[q], rep[other]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    late = written(late.union(meeting.groupBy("pack").applyInPandas(meet, "a long, b long")), "near-late")
 
     group = components(linked.union(late).union(same), "near-all")
     return made.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
