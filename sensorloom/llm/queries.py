@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import cube_mix, hilbert_shards, quality_fm, token_counts
+from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, quality_fm, token_counts
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 
@@ -26,6 +26,10 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.placed(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_fm": op2_quality_fm,
     "op3_token_counts": op3_token_counts,
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_decontaminate": op5_decontaminate,
     "op6_cube_mix": op6_cube_mix,
     "op7_near_dedup": op7_near_dedup,
 }
