@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, quality_fm, token_counts
+from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, perplexity_rules, quality_fm, token_counts
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 
@@ -38,6 +38,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_rules.rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_fm": op2_quality_fm,
     "op3_token_counts": op3_token_counts,
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_cube_mix": op6_cube_mix,
     "op7_near_dedup": op7_near_dedup,
+    "op8_perplexity_rules": op8_perplexity_rules,
 }
 
 ORACLES: dict[str, str] = {}
