@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, perplexity_rules, quality_fm, token_counts
+from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, passages, perplexity_rules, quality_fm, token_counts
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 
@@ -42,6 +42,10 @@ def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_rules.rules(table(spark, sf_dir, "documents"))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_fm": op2_quality_fm,
     "op3_token_counts": op3_token_counts,
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_cube_mix": op6_cube_mix,
     "op7_near_dedup": op7_near_dedup,
     "op8_perplexity_rules": op8_perplexity_rules,
+    "op9_passages": op9_passages,
 }
 
 ORACLES: dict[str, str] = {}
