@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, passages, perplexity_rules, quality_fm, token_counts
+from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, passages, perplexity_rules, quality_fm, token_counts, warc_audit
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 
@@ -46,6 +47,28 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' records against a replica that was damaged as the first digits of md5(url) say.
+
+    00: a byte of the text is another one; 01: the record is lost; 02: it is cut short.
+    """
+    found = warc_audit.records(table(spark, sf_dir, "pages"))
+    digits = table(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("long"), F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2).alias("digits"),
+        warc_audit.record(F.col("url"), F.col("html"), F.col("page_id")).alias("record"),
+    )
+    whole = warc_audit.manifest(found)
+    size, bytes_ = F.length("record"), F.col("record")
+    flipped = F.concat(F.substring(bytes_, 1, size - 5), F.lit("~").cast("binary"), F.substring(bytes_, size - 3, F.lit(4)))
+    damaged = F.when(F.col("digits") == "00", flipped).when(F.col("digits") == "02", F.substring(bytes_, F.lit(1), size - 100))
+    kept = digits.where("digits <> '01'").select(
+        "page_id", F.length(F.coalesce(damaged, bytes_)).cast("long").alias("length"),
+        F.unhex(F.sha2(F.coalesce(damaged, bytes_), 256)).alias("digest"),
+    )
+    places = whole.select("page_id", "segment", "offset")
+    return warc_audit.audit(whole, kept.join(places, "page_id").select(whole.columns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_fm": op2_quality_fm,
     "op3_token_counts": op3_token_counts,
@@ -55,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_dedup": op7_near_dedup,
     "op8_perplexity_rules": op8_perplexity_rules,
     "op9_passages": op9_passages,
+    "op10_warc_audit": op10_warc_audit,
 }
 
 ORACLES: dict[str, str] = {}
