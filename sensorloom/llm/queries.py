@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, passages, perplexity_rules, quality_fm, token_counts, warc_audit
+from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, line_dedup, passages, perplexity_rules, quality_fm, token_counts, warc_audit
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.near_duplicate_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -70,6 +74,7 @@ def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality_fm": op2_quality_fm,
     "op3_token_counts": op3_token_counts,
     "op4_hilbert_shards": op4_hilbert_shards,
