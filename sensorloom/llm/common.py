@@ -28,9 +28,18 @@ def n_words(text: Column) -> Column:
 
 
 def only_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of df whose key is in ids (written, distinct): broadcast if few, else a shuffled semi-join."""
-    small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
+    """Rows of df whose key is in ids (written, distinct)."""
+    return df.join(few_or_shuffled(ids), key, "left_semi").select(df.columns)
+
+
+def few_or_shuffled(df: DataFrame) -> DataFrame:
+    """df (written, narrow) to be joined: broadcast if its rows, counted, are few; else as it is."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def without_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of df whose key isn't in ids (written, distinct); null keys stay."""
+    return df.join(few_or_shuffled(ids), key, "left_anti").select(df.columns)
 
 
 def components(links: DataFrame, label: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import BROADCAST_ROWS, only_ids, written
+from sensorloom.llm.common import few_or_shuffled, only_ids, without_ids, written
 
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
 #: Items of fewer words than the longest mask spans are too short to tell and match nothing.
@@ -54,18 +54,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, percent: int
     items = written(items.where(F.size("words") >= LEAST_WORDS).distinct(), "leak-items")
     probes = _seeds(items).where("seed IS NOT NULL").select("seed", F.col("id").alias("item_id"), F.col("place").alias("item_place"))
     probes = written(probes, "leak-probes")
-    small = probes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     words = texts.select(F.col("doc_id").alias("id"), word_hashes(F.col("text")).alias("words"))
-    hits = _seeds(words.where(F.size("words") >= LEAST_WORDS)).join(F.broadcast(probes) if small else probes, "seed")
+    hits = _seeds(words.where(F.size("words") >= LEAST_WORDS)).join(few_or_shuffled(probes), "seed")
     hits = hits.select(F.col("id").alias("doc_id"), "item_id", (F.col("place") - F.col("item_place")).alias("place"))
     hits = written(hits.distinct(), "leak-hits")
 
     ids = written(hits.select("doc_id").distinct(), "leak-ids")
     held = only_ids(texts, ids, "doc_id").select("doc_id", word_hashes(F.col("text")).alias("words"))
-    few = items.limit(BROADCAST_ROWS // 16 + 1).count() <= BROADCAST_ROWS // 16
     named = items.select(F.col("id").alias("item_id"), F.col("words").alias("item"))
-    aligned = hits.join(F.broadcast(named) if few else named, "item_id").join(held, "doc_id")
+    aligned = hits.join(named, "item_id").join(held, "doc_id")
     equal = F.transform(
         "item", lambda w, k: (F.coalesce(F.get("words", F.col("place") + k) == w, F.lit(False))).cast("int")
     )
@@ -90,4 +88,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, percent: int
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without the documents that hold a benchmark item; rows without an id stay."""
     ids = written(leaks(docs, benchmark, **options).select("doc_id").distinct(), "leak-found")
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, ids, "doc_id")

@@ -24,10 +24,10 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import components, only_ids, written
+from sensorloom.llm.common import components, only_ids, without_ids, written
 from sensorloom.llm.words import chunks, find_words, mix, seeded, shingle_hashes
 
 BANDS, ROWS = 25, 5
@@ -271,3 +271,19 @@ def near_duplicates(
         F.coalesce("component", "doc_id").alias("component_id"),
         F.expr("doc_id <=> coalesce(component, doc_id)").alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """docs with one document of each group of near-duplicates: the one of the smallest doc_id.
+
+    Of rows that share a doc_id one stays, the first by a hash of its text and then by
+    its other columns; rows without an id all stay.
+    """
+    found = written(near_duplicates(docs, **options), "near-found")
+    dropped = written(found.where("NOT kept").select("doc_id").distinct(), "near-dropped")
+    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    repeated = written(repeated.where("rows > 1").select("doc_id"), "near-repeated")
+    kept = without_ids(docs, dropped, "doc_id")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *(c for c in docs.columns if c != "doc_id"))
+    single = only_ids(kept, repeated, "doc_id").withColumn("_turn", F.row_number().over(first))
+    return without_ids(kept, repeated, "doc_id").unionByName(single.where("_turn = 1").drop("_turn"))

@@ -232,18 +232,22 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     other than text and n_chars pass through untouched.
     """
     kept = [c for c in docs.columns if c != "score"]
+    own = ["_" * (1 + max(map(len, kept))) + c for c in ("text", "n_chars")]  # names that docs can't have
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in chunks(batches, "_text"):
-            found = machine.scores(*features(data, offsets, _meta(part, "_n_chars")))
-            columns = [part.column(part.schema.get_field_index(c)) for c in names] + [pa.array(found, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "score"])
-
-    inner = docs.select(*(F.col(f"`{c}`") for c in kept), F.col("text").cast("string").alias("_text"),
-                        F.col("n_chars").cast("double").alias("_n_chars"))
-    names = kept
-    schema = inner.drop("_text", "_n_chars").schema.add("score", "double")
-    return inner.mapInArrow(run, schema)
+        for part, data, offsets in chunks(batches, own[0]):
+            found = machine.scores(*features(data, offsets, _meta(part, own[1])))
+            columns = [part.column(part.schema.get_field_index(c)) for c in kept] + [pa.array(found, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "score"])
+
+    inputs = [F.col("text").cast("string").alias(own[0]), F.col("n_chars").cast("double").alias(own[1])]
+    inner = docs.select(*(F.col(f"`{c}`") for c in kept), *inputs)
+    return inner.mapInArrow(run, inner.drop(*own).schema.add("score", "double"))
+
+
+def good(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
+    """docs that the classifier doesn't reject."""
+    return score(docs, train(docs, labels)).where(F.col("score") >= least).select(docs.columns)
 
 
 def classify(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
