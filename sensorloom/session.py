@@ -37,16 +37,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder all executors can reach, for stream checkpoints and tables.
 
     Lies under the folder the session names in ``spark.checkpoint.dir``. A local
-    session may go without that setting and then uses its warehouse folder. The
-    folder is deleted when the session's JVM ends.
+    session may go without that setting and then uses its warehouse folder. All
+    folders of a session are deleted when its JVM ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-    path = f"{root.rstrip('/')}/sensorloom/{label}-{uuid.uuid4().hex}"
     context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/sensorloom/{context.applicationId}")
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(folder)  # only a folder that exists is remembered for deletion
+    files.deleteOnExit(folder)
+    return f"{folder.toString()}/{label}-{uuid.uuid4().hex}"
