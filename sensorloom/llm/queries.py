@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, line_dedup, passages, perplexity_rules, quality_fm, token_counts, warc_audit
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
+from sensorloom.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,5 +86,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_passages": op9_passages,
     "op10_warc_audit": op10_warc_audit,
 }
-
-ORACLES: dict[str, str] = {}
