@@ -25,6 +25,7 @@ WORDS, BINS = 1 << 16, 32
 FACTORS = 8
 #: Labelled rows the model is fitted on at most: those with the smallest hashed ids.
 TRAIN_ROWS = 8_000
+BATCH, LEAST_STEPS = 128, 300
 
 
 def _kind(characters: bytes) -> np.ndarray:
@@ -146,19 +147,25 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logits(slots, values, begins), -30, 30)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 6, rate: float = 0.3, decay: float = 1e-6) -> Machine:
-    """Logistic loss by AdaGrad in batches; the order and the start are fixed. Without rows: all scores 0.5."""
+def fit(
+    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 6, rate: float = 0.3, decay: float = 1e-6
+) -> Machine:
+    """Logistic loss by AdaGrad in batches; the order and the start are fixed. Without rows: all scores 0.5.
+
+    Few rows are gone through more often, until LEAST_STEPS batches have been seen.
+    """
     size, rng = WORDS + STATISTICS * BINS, np.random.default_rng(7)
     made = Machine(0.0, np.zeros(size), (rng.standard_normal((size, FACTORS)) * 0.05).astype(np.float32))
     if not len(rows):
-        return made
+        return Machine(0.0, made.linear, np.zeros_like(made.factors))
     mean = min(max(float(labels.mean()), 0.01), 0.99)
     made.bias = float(np.log(mean / (1 - mean)))
     seen, seen_factors = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2, np.float32)
+    epochs = max(epochs, -(-LEAST_STEPS // -(-len(rows) // BATCH)))
     for _ in range(epochs):
         order = rng.permutation(len(rows))
-        for at in range(0, len(order), 128):
-            batch = order[at : at + 128]
+        for at in range(0, len(order), BATCH):
+            batch = order[at : at + BATCH]
             lengths = np.array([len(rows[i][0]) for i in batch])
             slots, values = (np.concatenate([rows[i][k] for i in batch]) for k in (0, 1))
             begins = np.concatenate(([0], np.cumsum(lengths)))
