@@ -32,8 +32,9 @@ from sensorloom.llm.words import chunks, find_words, mix, seeded, shingle_hashes
 
 BANDS, ROWS = 25, 5
 BATCH = 25  # hashes compared before each look at the posterior
-BLOCK = 512  # members of a bucket compared at once in the last step
-PACK = 2048  # rows a task of the last step gets together, about
+BLOCK = 512  # members of a bucket compared at once in the last step, at most
+BLOCK_SHINGLES = 1 << 18  # shingles of such a block, about
+PACK_SHINGLES = 1 << 19  # shingles of the blocks a task of the last step holds at a time, about
 
 
 @cache
@@ -180,7 +181,7 @@ def near_duplicates(
     )
 
     # Buckets with more than one member, and each one's smallest member.
-    members = classes.select("rep", F.explode("keys").alias("key"))
+    members = classes.select("rep", "n", F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last")
     buckets = written(members.join(hubs.select("key", "hub"), "key"), "near-buckets")
     signatures = classes.select("rep", "signature")
@@ -207,18 +208,26 @@ def near_duplicates(
     late = verified(docs, apart, shingle, percent, "near-apart")
 
     placed = buckets.where("rep <> hub").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    placed = placed.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    parts = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+    placed = placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
     parts = parts.groupBy("key").agg(
-        F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("parts")
+        F.max(F.struct("size", "component", "shingles")).alias("main"), F.sum("size").alias("size"),
+        F.sum("shingles").alias("shingles"), F.count("*").alias("parts"),
     ).where("parts > 1")
-    parts = parts.select("key", F.col("main.component").alias("main"), "all", (F.col("all") - F.col("main.size")).alias("lights"))
+
+    def pieces(size, shingles):
+        return F.greatest(F.ceil(size / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+    main = F.col("main")
+    parts = parts.select(
+        "key", main["component"].alias("main"), pieces(F.col("size"), F.col("shingles")).alias("all"),
+        pieces(F.col("size") - main["size"], F.col("shingles") - main["shingles"]).alias("lights"),
+    )
     placed = written(placed.join(parts, "key"), "near-placed")
     sets = full_sets(docs, placed.select(F.col("rep").alias("doc_id")).distinct(), shingle, "near-placed")
     whole = placed.join(sets.withColumnRenamed("doc_id", "rep"), "rep").join(signatures, "rep")
-    pieces = {c: F.ceil(F.col(c) / BLOCK).cast("int") for c in ("all", "lights")}
-    own = {c: F.pmod(F.xxhash64("rep"), n).cast("int") for c, n in pieces.items()}
-    every = {c: F.explode(F.sequence(F.lit(0), n - 1)) for c, n in pieces.items()}
+    own = {c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int") for c in ("all", "lights")}
+    every = {c: F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("all", "lights")}
     columns = ["key", "rep", "component", "signature", "members"]
     queries = whole.where("component <> main").select(
         *columns, F.lit(True).alias("light"), own["lights"].alias("row"), every["all"].alias("column")
@@ -226,7 +235,9 @@ def near_duplicates(
     others = whole.select(
         *columns, F.lit(False).alias("light"), every["lights"].alias("row"), own["all"].alias("column")
     )
-    packs = max(1, placed.count() // PACK)
+    copies = F.col("lights") + F.when(F.col("component") != F.col("main"), F.col("all")).otherwise(F.lit(0))
+    volume = placed.agg(F.sum(F.col("n") * copies)).first()[0] or 0
+    packs = volume // PACK_SHINGLES + 1
     meeting = queries.union(others).withColumn("pack", F.pmod(F.xxhash64("key", "row", "column"), F.lit(packs)))
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
