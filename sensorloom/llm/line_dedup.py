@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import components, only_ids, written
+from sensorloom.llm.common import components, few_or_shuffled, only_ids, written
 from sensorloom.llm.words import _POWERS, chunks, mix
 
 EDITS = 2
@@ -168,7 +168,7 @@ def near_duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     indexed = F.when(F.col("indexed"), F.col("id"))
     groups = made.groupBy("key").agg(F.min(indexed).alias("hub"), F.min("id").alias("low"), F.max("id").alias("high"))
     groups = written(groups.where("hub IS NOT NULL AND low < high").select("key", "hub"), "line-groups")
-    members = made.join(groups, "key").groupBy("key", "hub", "id").agg(F.max("indexed").alias("indexed"))
+    members = made.join(few_or_shuffled(groups), "key").groupBy("key", "hub", "id").agg(F.max("indexed").alias("indexed"))
     members = written(members, "line-members")
     involved = written(members.select("id").distinct(), "line-involved")
     texts = only_ids(lines.select("id", "line"), involved, "id").groupBy("id").agg(F.first("line").alias("line"))
