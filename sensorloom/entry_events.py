@@ -1,4 +1,4 @@
-"""Raw tables derived from an ``events`` table.
+"""Raw tables derived from an ``events`` table, for the registered queries.
 
 Users stand in for sensors: four zones, three sensors each. One air sensor reads
 zero, one reads three times too high and one falls silent near the end, as
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import as_utc_instant, is_ntz
+from .functions.times import as_utc_instant, is_ntz
+from .session import scratch_dir
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -82,15 +83,20 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str, max_bytes: int | None = None) -> DataFrame:
-    """The same table as a stream, with ``ts`` as an instant: watermarks need one.
+#: Micro-batches that a stream of the events takes, about.
+BATCHES = 12
 
-    ``max_bytes`` bounds a micro-batch. Leave it out for streams with a watermark:
-    files come in no order of time, and an early late file would be dropped.
+
+def stream_events(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    """The same table as a stream of about a dozen micro-batches, with ``ts`` as an instant.
+
+    The batches hold days that lie far apart and come in no order. With two copies,
+    each event comes again in another batch.
     """
-    reader = spark.readStream.schema(EVENTS_SCHEMA)
-    if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    # As a pattern the path may be one file as well as a folder of files.
-    events = reader.parquet(f"{sf_dir}/events.parquet*")
-    return events.withColumn("ts", as_utc_instant(F.col("ts")))
+    events, folder = read_events(spark, sf_dir), scratch_dir(spark, "events")
+    days = [F.pmod(F.dayofmonth("ts") + 5 * copy, F.lit(BATCHES)) for copy in range(copies)]
+    parts = events.withColumn("part", F.explode(F.array(*days)))
+    parts.hint("rebalance", "part").write.partitionBy("part").parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    reader = spark.readStream.schema(f"{EVENTS_SCHEMA}, part int").option("maxFilesPerTrigger", max(1, files // BATCHES))
+    return reader.parquet(folder).drop("part").withColumn("ts", as_utc_instant(F.col("ts")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
@@ -10,26 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .entry_events import raw_from_events, read_events, stream_events
 from .functions.times import as_utc_instant, as_utc_ntz
 from .operators.expected import expected_levels
+from .operators.quality import check
 from .operators.silence import reading_gaps, silent_sensors
 from .plans import models, panels
-from .plans.refresh import refresh_models
-from .plans.suites import quality_models, quality_raw
-from .schemas import AIR, ENERGY, KINDS, Kind
+from .plans.refresh import refresh_models, refresh_tables
+from .plans.suites import MODEL_CHECKS, quality_models, quality_raw
+from .schemas import AIR, ENERGY, KINDS, TRAFFIC, Kind
 from .session import scratch_dir
-from .sources.events import raw_from_events, read_events, stream_events
-from .sources.tables import append_raw, read_raw, refresh_days, save_files
+from .sources.tables import append_raw, compact, create_raw_tables, read_raw, refresh_days, save_files, save_view
 from .sources.topics import decode, publish
 from .streaming.health import current_health, track_health
-from .streaming.ingest import QUARANTINE, ingest
-from .streaming.rollups import activity_sessions, append_files, hourly_stream, joined_hours_stream
+from .streaming.ingest import QUARANTINE, ingest, rows_read
+from .streaming.rollups import current_runs, keep_models, keep_runs, kept_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DELAY = "10 minutes"
-MAX_BATCH = 256 << 30
-
 
 def now():
     """The panels' clock: the end of the month the events cover."""
@@ -61,12 +60,15 @@ def built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return models.build_model(name, raws(spark, sf_dir))
 
 
-def stored(spark: SparkSession, sf_dir: str, kind: Kind) -> str:
-    """Write one raw table, partitioned by day, and return its base folder."""
-    base = scratch_dir(spark, "tables")
-    readings = raws(spark, sf_dir)[kind.table]
-    instants = readings.withColumn("timestamp", as_utc_instant(F.col("timestamp")))
-    append_raw(instants, base, kind, "load", rebalance=True)
+def instants(readings: DataFrame) -> DataFrame:
+    return readings.withColumn("timestamp", as_utc_instant(F.col("timestamp")))
+
+
+def stored(spark: SparkSession, sf_dir: str, *kinds: Kind) -> str:
+    """Write raw tables, partitioned by day, and return their base folder."""
+    base, tables = scratch_dir(spark, "tables"), raws(spark, sf_dir)
+    for kind in kinds:
+        append_raw(instants(tables[kind.table]), base, kind, "load", rebalance=True)
     return base
 
 
@@ -133,59 +135,141 @@ def table_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first load of all days, then a refresh of the last ones only."""
-    base = stored(spark, sf_dir, AIR)
-    raw = read_raw(spark, base, AIR)
-    for since in ("2000-01-01", "2024-01-20"):
-        start = F.expr(f"TIMESTAMP '{since} 00:00:00+00:00'")
-        refresh_days(raw, models.air_quality_hourly, base, "air_quality_hourly", start)
-    return plain(spark.read.parquet(f"{base}/air_quality_hourly").drop("day"))
-
-
-def stream_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All readings as messages, and as bad messages what other events can give."""
-    folder = scratch_dir(spark, "ingest")
-    events = stream_events(spark, sf_dir, MAX_BATCH)
-    tables = raw_from_events(events)
-    messages = [publish(tables[kind.table], kind) for kind in KINDS.values()]
+    """A first load of all days; then one day loses its readings, late ones come for another, the last days are refreshed."""
+    base, readings = scratch_dir(spark, "tables"), instants(raws(spark, sf_dir)[AIR.table])
+    day = F.to_date(as_utc_ntz(F.col("timestamp")))
+    late = (day == F.lit("2024-01-27").cast("date")) & (F.col("pm25_level") > 20)
+    first = readings.where(~late)
+    append_raw(first, base, AIR, "load", rebalance=True)
+    model = models.air_quality_hourly
+    refresh_days(read_raw(spark, base, AIR), model, base, "hourly", F.expr("TIMESTAMP '2000-01-01 00:00:00+00:00'"))
+    append_raw(first.where(day != F.lit("2024-01-22").cast("date")), base, AIR, "load", rebalance=True, corrected=True)
+    append_raw(readings.where(late), base, AIR, "late")
+    refresh_days(read_raw(spark, base, AIR), model, base, "hourly", F.expr("TIMESTAMP '2024-01-20 00:00:00+00:00'"))
+    return plain(spark.read.parquet(f"{base}/hourly").drop("day"))
+
+
+def table_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The energy table in several batches, folded into one folder per closed day."""
+    base, readings = scratch_dir(spark, "tables"), instants(raws(spark, sf_dir)[ENERGY.table])
+    for number in range(4):
+        part = F.pmod(F.xxhash64("timestamp", "sensor_id"), F.lit(4)) == number
+        append_raw(readings.where(part), base, ENERGY, f"stream-{number}", rebalance=True)
+    compact(spark, base, ENERGY, "2024-01-30")
+    return plain(read_raw(spark, base, ENERGY).drop("day"))
+
+
+def timeless_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly air model of readings of which some, from error events, have no time."""
+    events = read_events(spark, sf_dir)
+    events = events.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts")))
+    return models.air_quality_hourly(raw_from_events(events)[AIR.table])
+
+
+def null_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(timeless_hours(spark, sf_dir))
+
+
+def quality_null_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = "air_quality_hourly"
+    return check(timeless_hours(spark, sf_dir), name, MODEL_CHECKS[name])
+
+
+def sql_sensor_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables declared over files, models saved as tables, and a SQL read of one."""
+    base, name = stored(spark, sf_dir, *KINDS.values()), f"sensorloom_{uuid.uuid4().hex}"
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, 'database')}'")
+    spark.sql(f"USE {name}")
+    try:
+        create_raw_tables(spark, base)
+        refresh_tables(spark, name)
+        health = spark.sql("SELECT * FROM sensor_health WHERE sensor_id IN (SELECT sensor_id FROM raw_air_quality)")
+        return plain(save_files(health, base, "answer"))
+    finally:
+        spark.sql(f"USE {before}")
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def view_threshold_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model as a view, recomputed when it is read."""
+    name = f"breaches_{uuid.uuid4().hex}"
+    save_view(built(spark, sf_dir, "threshold_breaches"), name)
+    return plain(spark.sql(f"SELECT * FROM {name}"))
+
+
+def bad_messages(events: DataFrame) -> list[DataFrame]:
+    """What other events can give as messages that are no readings."""
+    found = []
     for event_type, topic, value in (
         ("signup", AIR.topic, "props"),
         ("purchase", ENERGY.topic, "event_type"),
         ("error", "sensor_other", "props"),
     ):
         bad = events.filter(F.col("event_type") == event_type)
-        messages.append(bad.select(F.lit(topic).alias("topic"), F.col(value).alias("value")))
-    ingest(reduce(DataFrame.unionByName, messages), f"{folder}/tables", f"{folder}/position").awaitTermination()
+        found.append(bad.select(F.lit(topic).alias("topic"), F.col(value).alias("value")))
+    return found
+
+
+def stored_counts(spark: SparkSession, base: str) -> list[DataFrame]:
     counts = [
-        read_raw(spark, f"{folder}/tables", kind).groupBy(
+        read_raw(spark, base, kind).groupBy(
             F.lit(kind.table).alias("table_name"), F.lit("").alias("problem")
         ).agg(F.count("*").alias("row_count"))
         for kind in KINDS.values()
     ]
-    rejected = spark.read.parquet(f"{folder}/tables/{QUARANTINE}")
+    rejected = spark.read.parquet(f"{base}/{QUARANTINE}")
     counts.append(
         rejected.groupBy(F.lit(QUARANTINE).alias("table_name"), "problem").agg(F.count("*").alias("row_count"))
     )
-    return reduce(DataFrame.unionByName, counts)
+    return counts
 
 
-def finished(stream: DataFrame, label: str) -> DataFrame:
-    """Run a stream over what is there and read what it emitted."""
-    spark, folder = stream.sparkSession, scratch_dir(stream.sparkSession, label)
-    append_files(stream, f"{folder}/out", f"{folder}/position").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+def stream_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings as messages, and bad messages among them."""
+    folder, events = scratch_dir(spark, "ingest"), stream_events(spark, sf_dir)
+    tables = raw_from_events(events)
+    messages = [publish(tables[kind.table], kind) for kind in KINDS.values()] + bad_messages(events)
+    ingest(reduce(DataFrame.unionByName, messages), f"{folder}/tables", f"{folder}/position").awaitTermination()
+    return reduce(DataFrame.unionByName, stored_counts(spark, f"{folder}/tables"))
 
 
-def hourly(table: str, rollup: Callable[[DataFrame], DataFrame]) -> Query:
+def stream_ingest_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message twice, in different micro-batches, some with a deeply nested field; stored once, all counted."""
+    folder, events = scratch_dir(spark, "ingest"), stream_events(spark, sf_dir, copies=2)
+    tables = raw_from_events(events)
+    deep = ',"extra":' + '{"a":[' * 12 + "1" + "]}" * 12 + "}"
+    nested = F.when(F.col("value").contains("_02"), F.concat(F.rtrim(F.regexp_replace("value", r"\}$", "")), F.lit(deep)))
+    good = [publish(tables[kind.table], kind) for kind in KINDS.values()]
+    good = [m.withColumn("value", F.coalesce(nested, F.col("value"))) for m in good]
+    base = f"{folder}/tables"
+    every = reduce(DataFrame.unionByName, good + bad_messages(events))
+    ingest(every, base, f"{folder}/position", dedupe=True).awaitTermination()
+    read = spark.range(1).select(F.lit("messages").alias("table_name"), F.lit("").alias("problem"),
+                                 F.lit(rows_read(spark, base)).cast("long").alias("row_count"))
+    return reduce(DataFrame.unionByName, [*stored_counts(spark, base), read])
+
+
+def hourly(kind: Kind, name: str, rollup: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(finished(hourly_stream(stream_raws(spark, sf_dir)[table], rollup, DELAY), "hourly"))
+        folder, source = scratch_dir(spark, "hourly"), {kind.table: stream_raws(spark, sf_dir)[kind.table]}
+        keep_models(source, {name: lambda raw: rollup(raw[kind.table])}, folder, f"{folder}/position").awaitTermination()
+        return plain(kept_model(spark, folder, name))
 
     return query
 
 
 def joined_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = stream_raws(spark, sf_dir)
-    return finished(joined_hours_stream(tables["raw_traffic"], tables["raw_air_quality"], DELAY), "joined")
+    folder, tables = scratch_dir(spark, "joined"), stream_raws(spark, sf_dir)
+    source = {kind.table: tables[kind.table] for kind in (TRAFFIC, AIR)}
+
+    def build(raw: dict[str, DataFrame]) -> DataFrame:
+        return models.traffic_pollution_hours(
+            models.traffic_hourly(raw[TRAFFIC.table]), models.air_quality_hourly(raw[AIR.table])
+        )
+
+    keep_models(source, {"joined": build}, folder, f"{folder}/position").awaitTermination()
+    return kept_model(spark, folder, "joined")
 
 
 def stream_joined_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +288,10 @@ def stream_sensor_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_activity_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(finished(activity_sessions(stream_raws(spark, sf_dir)[AIR.table], "6 hours", DELAY), "sessions"))
+    folder = scratch_dir(spark, "runs")
+    query = keep_runs(stream_raws(spark, sf_dir)[AIR.table], f"{folder}/runs", f"{folder}/position", "6 hours")
+    query.awaitTermination()
+    return plain(current_runs(spark, f"{folder}/runs", query.id))
 
 
 QUERIES: dict[str, Query] = {
@@ -226,10 +313,16 @@ QUERIES: dict[str, Query] = {
     "table_sensor_health": table_sensor_health,
     "table_time_range": table_time_range,
     "table_refreshed_days": table_refreshed_days,
+    "table_compacted": table_compacted,
+    "null_hours": null_hours,
+    "quality_null_hours": quality_null_hours,
+    "sql_sensor_health": sql_sensor_health,
+    "view_threshold_breaches": view_threshold_breaches,
     "stream_ingest_counts": stream_ingest_counts,
-    "stream_air_quality_hourly": hourly("raw_air_quality", models.air_quality_hourly),
-    "stream_traffic_hourly": hourly("raw_traffic", models.traffic_hourly),
-    "stream_energy_hourly": hourly("raw_energy", models.energy_hourly),
+    "stream_ingest_deduped": stream_ingest_deduped,
+    "stream_air_quality_hourly": hourly(AIR, "air_quality_hourly", models.air_quality_hourly),
+    "stream_traffic_hourly": hourly(TRAFFIC, "traffic_hourly", models.traffic_hourly),
+    "stream_energy_hourly": hourly(ENERGY, "energy_hourly", models.energy_hourly),
     "stream_joined_hours": stream_joined_hours,
     "stream_correlation": stream_correlation,
     "stream_sensor_health": stream_sensor_health,

@@ -13,13 +13,25 @@ def to_numeric(value: Column) -> Column:
     so float noise such as 6.964999999999999 does not decide a rounding tie. NaN,
     infinities and numbers from 1e20 on do not fit the decimal and become NULL.
     """
-    text = F.format_string("%.14e", value.cast("double"))
-    return F.when(value.isNotNull(), text.try_cast("decimal(38,18)"))
+    return F.when(value.isNotNull(), _digits(value).try_cast("decimal(38,18)"))
+
+
+def _digits(value: Column) -> Column:
+    return F.format_string("%.14e", value.cast("double"))
 
 
 def round_numeric(value: Column, places: int) -> Column:
-    """``ROUND(value::numeric, places)`` of a double, half away from zero."""
-    return F.round(to_numeric(value), places)
+    """``ROUND(value::numeric, places)`` of a double, half away from zero, as ``decimal(38,places)``.
+
+    From 1e20 on the 15 digits have no fraction and are taken as they are. NaN and
+    infinities become NULL, which the raw suite's NaN checks report; a finite number
+    that does not fit raises an error.
+    """
+    kind, number = f"decimal(38,{places})", value.cast("double")
+    fits = F.coalesce(F.round(to_numeric(value), places).cast(kind), _digits(value).try_cast(kind))
+    finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+    too_large = F.raise_error(F.concat(F.lit("no decimal holds "), number.cast("string"))).cast(kind)
+    return F.when(value.isNotNull(), F.coalesce(fits, F.when(finite, too_large)))
 
 
 def exact_mean(column: str, scale: int = 0) -> Column:

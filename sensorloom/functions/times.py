@@ -91,6 +91,7 @@ def iso_timestamp(ts: Column, ntz: bool = False) -> Column:
 
 def diurnal_factor(hour: Column) -> Column:
     """Time-of-day multiplier of the expected levels for an hour of the day."""
+    # Phases and weights of the two waves.
     daily = F.sin((hour - 6) / 24 * (2 * math.pi))
     half_daily = F.sin((hour - 18) / 12 * (2 * math.pi))
     return F.lit(1.0) + 0.4 * daily + 0.4 * half_daily

@@ -23,9 +23,11 @@ class Rule:
             return F.count("*")
         if self.kind == "missing":
             return F.count_if(F.col(self.column).isNull())
-        if self.kind == "min":
-            return F.min(self.column)
-        return F.max(self.column)
+        if self.kind == "nan":
+            return F.count_if(F.isnan(self.column))
+        if self.kind in ("min", "max"):
+            return (F.min if self.kind == "min" else F.max)(self.column)
+        raise ValueError(f"rule {self.name}: cannot measure {self.kind!r}")
 
     def passed(self, value: Column) -> Column:
         if self.kind == "rows":
@@ -45,6 +47,11 @@ def no_missing(column: str) -> Rule:
     return Rule(f"missing_count({column}) = 0", "missing", column)
 
 
+def no_nan(column: str) -> Rule:
+    """NaN counts as present; the models' decimals cannot hold it."""
+    return Rule(f"nan_count({column}) = 0", "nan", column)
+
+
 def not_null(column: str) -> Rule:
     return Rule(f"not_null({column})", "missing", column)
 
@@ -90,6 +97,8 @@ def check(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     single rows share one aggregate; each ``unique`` rule adds a grouping by its
     column, whose partial counts leave at most one row per value and task.
     """
+    if not rules:
+        raise ValueError(f"{table}: no rules to check")
     plain = [r for r in rules if r.kind != "unique"]
     results = []
     if plain:

@@ -24,7 +24,7 @@ def last_n(df: DataFrame, key: str, order: Sequence[Column], n: int, slices: int
     Ranked twice: per (key, slice of input tasks), then per key. The newest n of
     a key are among the newest n of each slice, whatever the slices are. Spark
     plans both filters as group limits, so each task drops all but n rows per
-    key before its shuffle.
+    key before its shuffle; for n over 1000 this takes ``spark_session()``'s settings.
     """
     sliced = df.withColumn("_slice", F.spark_partition_id() % slices)
     candidates = _top(sliced, [key, "_slice"], order, n).drop("_slice")
@@ -37,12 +37,12 @@ def in_last_days(df: DataFrame, key: str, n: int, day: str = "day") -> DataFrame
     For tables partitioned by day. Rows are counted per (key, day), a scan of the
     key column alone, and a key needs a day while fewer than n of its rows are
     newer. Exact for silent keys as well: their old days stay needed. The needed
-    days prune the second scan; they are broadcast, being at most one row per
-    calendar day of the table.
+    days prune the second scan; there is at most one row per calendar day of the
+    table, and the planner decides from its size how to join it.
     """
     counts = df.groupBy(key, day).agg(F.count("*").alias("_rows"))
     newer = W.partitionBy(key).orderBy(F.desc(day)).rowsBetween(W.unboundedPreceding, -1)
     needed = counts.withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0))).filter(
         F.col("_newer") < n
     )
-    return df.join(F.broadcast(needed.select(day).distinct()), day, "left_semi")
+    return df.join(needed.select(day).distinct(), day, "left_semi")

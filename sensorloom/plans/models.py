@@ -117,10 +117,14 @@ def classify_sensors(recent: DataFrame, n_stddev: float = 1.0) -> DataFrame:
     )
     mean = exact_mean("recent_avg_pm25", 2).cast("double")
     spread = F.stddev_samp("recent_avg_pm25") * F.lit(float(n_stddev))
-    fleet = per_sensor.agg(to_numeric(mean + spread).alias("drift_bound"))
+    bound = F.struct(to_numeric(mean + spread).alias("exact"), (mean + spread).alias("rough"))
+    fleet = per_sensor.agg(bound.alias("drift_bound")).scalar()
+    level = F.col("recent_avg_pm25")
+    # Beyond the decimal's range the double decides.
+    above = F.coalesce(level > fleet["exact"], level.cast("double") > fleet["rough"])
     status = (
-        F.when(F.col("recent_avg_pm25") == 0, DEAD)
-        .when(F.col("recent_avg_pm25") > fleet.scalar(), DRIFT)
+        F.when(level == 0, DEAD)
+        .when(above, DRIFT)
         .otherwise(HEALTHY)
     )
     return per_sensor.withColumn("health_status", status)

@@ -6,18 +6,19 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from ..operators.quality import Rule, at_least, at_most, check, has_rows, no_missing, not_null, unique
+from ..operators.quality import Rule, at_least, at_most, check, has_rows, no_missing, no_nan, not_null, unique
 
 RAW_CHECKS: dict[str, list[Rule]] = {
     "raw_air_quality": [
         has_rows(),
         no_missing("zone_id"),
         no_missing("pm25_level"),
+        no_nan("pm25_level"),
         at_least("pm25_level", 0),
         at_most("pm25_level", 500),
     ],
     "raw_traffic": [has_rows(), no_missing("zone_id"), at_least("vehicle_count", 0)],
-    "raw_energy": [has_rows(), no_missing("zone_id"), at_least("kwh_consumed", 0)],
+    "raw_energy": [has_rows(), no_missing("zone_id"), no_nan("kwh_consumed"), at_least("kwh_consumed", 0)],
 }
 
 MODEL_CHECKS: dict[str, list[Rule]] = {

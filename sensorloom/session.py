@@ -19,6 +19,8 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     SESSION_MERGE: "true",
+    # Group limits below rankings also for the newest n > 1000.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.ui.enabled": "false",
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -38,14 +39,49 @@ def _stored(df: DataFrame, kind: Kind, batch: str) -> DataFrame:
     return df.select(*kind.columns, day.alias("day"), F.lit(batch).alias("batch"))
 
 
-def append_raw(df: DataFrame, base: str, kind: Kind, batch: str, rebalance: bool = False) -> None:
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of a folder: its file system and its path."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a pattern; a listing of names, no data is read."""
+    files, at = _files(spark, pattern)
+    return sorted(status.getPath().toString() for status in files.globStatus(at) or [] if status.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
+
+def _days_in(df: DataFrame) -> set[str]:
+    """The distinct days of a frame with a day column: one row per calendar day."""
+    return {str(row.day) for row in df.select("day").where("day IS NOT NULL").distinct().toLocalIterator()}
+
+
+def _named(path: str, column: str) -> str:
+    return path.rpartition(f"{column}=")[2].partition("/")[0]
+
+
+def append_raw(
+    df: DataFrame, base: str, kind: Kind, batch: str, rebalance: bool = False, corrected: bool = False
+) -> None:
     """Add a batch of readings to a raw table; writing the same batch again replaces it.
 
     Rows go to ``day=.../batch=...`` from the tasks that hold them. ``rebalance`` is
     for large loads out of time order: it gathers days first, and adaptive
-    execution splits the large ones and merges the small ones.
+    execution splits the large ones and merges the small ones. Set ``corrected``
+    where the batch may have other rows than when it was written before: days it
+    no longer touches then lose their old rows too.
     """
     rows = _stored(df, kind, batch)
+    if corrected:
+        spark, now = df.sparkSession, _days_in(rows)
+        for path in folders(spark, f"{table_path(base, kind.table)}/day=*/batch={batch}"):
+            if _named(path, "day") not in now:
+                remove_folder(spark, path)
     if rebalance:
         rows = rows.hint("rebalance", "day")
     (
@@ -132,12 +168,71 @@ def refresh_days(
     ``raw`` has a ``day`` column. Whole days are read and whole days replaced, so
     the result equals a full refresh as long as older days did not change.
     """
-    ntz = is_ntz(raw, "timestamp")
-    hours = model(raw.filter(F.col("day") >= utc_day(moment(start, ntz), ntz)))
+    spark, ntz = raw.sparkSession, is_ntz(raw, "timestamp")
+    first = utc_day(moment(start, ntz), ntz)
+    write_days(model(raw.filter(F.col("day") >= first)), base, name)
+    # Days whose readings are all gone are in no output that could replace them.
+    left = _days_in(raw.filter(F.col("day") >= first))
+    since = str(spark.range(1).select(first.alias("day")).head().day)
+    for path in folders(spark, f"{table_path(base, name)}/day=*"):
+        day = _named(path, "day")
+        if since <= day < "9" and day not in left:
+            remove_folder(spark, path)
+
+
+def write_days(hours: DataFrame, base: str, name: str) -> None:
+    """Replace the days of an hourly model that are in ``hours``; few files per day."""
     (
         hours.withColumn("day", utc_day(F.col("hour"), is_ntz(hours, "hour")))
+        .hint("rebalance", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(table_path(base, name))
     )
+
+
+#: Compaction works in folders that readers skip until it is done.
+MERGED, SOURCES = "_merged", "_sources"
+
+
+def compact(spark: SparkSession, base: str, kind: Kind, before: str) -> None:
+    """Fold the batches of each day older than ``before`` (yyyy-mm-dd) into one folder.
+
+    The newest batch of a stream may be run again and is left as it is; so is a day
+    with one batch. New files are written to a folder readers do not see, with the
+    list of folders they replace; then those are removed and the new one is renamed.
+    A compaction that broke off is finished by the next one: what is complete is put
+    in place, what is not is written anew. Readers should not run meanwhile.
+    """
+    path = table_path(base, kind.table)
+    for hidden in folders(spark, f"{path}/day=*/{MERGED}-*"):
+        _put_in_place(spark, hidden)
+    newest: dict[str, tuple[int, str]] = {}
+    by_day: dict[str, list[str]] = {}
+    for folder in folders(spark, f"{path}/day=*/batch=*"):
+        by_day.setdefault(_named(folder, "day"), []).append(folder)
+        stream, _, number = _named(folder, "batch").rpartition("-")
+        if number.isdigit():
+            newest[stream] = max(newest.get(stream, (-1, "")), (int(number), _named(folder, "batch")))
+    replayable = {batch for _, batch in newest.values()}
+    for day, batches in by_day.items():
+        old = [f for f in batches if _named(f, "batch") not in replayable]
+        if day < before and len(old) > 1:
+            hidden = f"{path}/day={day}/{MERGED}-{uuid.uuid4().hex}"
+            names = spark.createDataFrame([(f,) for f in old], "folder string")
+            names.coalesce(1).write.parquet(f"{hidden}/{SOURCES}")
+            spark.read.schema(kind.schema).parquet(*old).hint("rebalance").write.mode("append").parquet(hidden)
+            _put_in_place(spark, hidden)
+
+
+def _put_in_place(spark: SparkSession, hidden: str) -> None:
+    files, at = _files(spark, hidden)
+    done = files.exists(_files(spark, f"{hidden}/_SUCCESS")[1])
+    if not done:
+        remove_folder(spark, hidden)
+        return
+    for row in spark.read.parquet(f"{hidden}/{SOURCES}").collect():
+        remove_folder(spark, row.folder)
+    remove_folder(spark, f"{hidden}/{SOURCES}")
+    files.rename(at, _files(spark, hidden.replace(f"/{MERGED}-", "/batch=compacted_"))[1])

@@ -3,37 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.recent import last_n
 from ..plans.models import classify_sensors, newest_first
+from ..schemas import AIR
 from .ingest import query_id, start
+from .kept import keep, kept_rows, last_done
 
 COLUMNS = ["sensor_id", "zone_id", "timestamp", "pm25_level"]
 
 
-def _slot(base: str, query: str, kind: str, number: int) -> str:
-    return f"{base.rstrip('/')}/{query}/{kind}{number % 2}"
+def _folder(base: str, query: str) -> str:
+    return f"{base.rstrip('/')}/{query}"
 
 
 def keep_newest(batch: DataFrame, base: str, number: int, last: int = 200) -> None:
-    """Merge a micro-batch into the kept readings of its stream.
+    """Merge a micro-batch into the kept readings of its stream, at most ``last`` per sensor.
 
-    Batch N reads what batch N-1 left in one slot and overwrites the other, so a
-    batch that is run again starts from the same rows. A one-row mark follows once
-    the slot is complete. The kept table has at most ``last`` rows per sensor and is
-    rewritten each time: choose the trigger with that in mind.
+    The batch is cut to its newest readings first, and only the buckets of its sensors
+    are read and rewritten.
     """
-    spark, query = batch.sparkSession, query_id(batch)
-    rows = batch.select(*COLUMNS)
-    if number > 0:
-        kept = spark.read.schema(rows.schema).parquet(_slot(base, query, "kept", number - 1))
-        rows = kept.unionByName(rows)
-    newest = last_n(rows, "sensor_id", newest_first("timestamp"), last)
-    newest.write.mode("overwrite").parquet(_slot(base, query, "kept", number))
-    mark = spark.range(1).select(F.lit(number).cast("long").alias("batch"))
-    mark.coalesce(1).write.mode("overwrite").parquet(_slot(base, query, "done", number))
+    def newest(rows: DataFrame) -> DataFrame:
+        return last_n(rows, "sensor_id", newest_first("timestamp"), last)
+
+    keep(newest(batch.select(*COLUMNS)), "sensor_id", _folder(base, query_id(batch)), number, newest)
 
 
 def track_health(
@@ -50,10 +45,9 @@ def track_health(
 def current_health(spark: SparkSession, base: str, query: str, n_stddev: float = 1.0) -> DataFrame:
     """Sensor health as of the last finished micro-batch of a stream, by its query id.
 
-    Marks may be under replacement, the slot the newest mark names is not. A read
-    that lasts until the stream comes back to that slot fails; it never returns part
-    of the sensors.
+    A bucket's version goes when a newer one has been readable for a whole micro-batch;
+    a read that lasts longer than that fails, and never returns part of the sensors.
     """
-    marks = spark.read.option("ignoreMissingFiles", "true").schema("batch bigint")
-    number = marks.parquet(f"{base.rstrip('/')}/{query}/done*").agg(F.max("batch")).head()[0]
-    return classify_sensors(spark.read.parquet(_slot(base, query, "kept", number)), n_stddev)
+    path = _folder(base, query)
+    schema = T.StructType([AIR.schema[c] for c in COLUMNS])
+    return classify_sensors(kept_rows(spark, path, schema, last_done(spark, path)), n_stddev)

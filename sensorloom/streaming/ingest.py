@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import KINDS
-from ..sources.tables import append_declared, append_raw, table_path
+from ..functions.times import utc_day
+from ..schemas import KINDS, Kind, stored_schema
+from ..sources.tables import append_declared, append_raw, folders, table_path
 from ..sources.topics import decode, readings, rejects
 
-QUARANTINE = "quarantine"
+QUARANTINE, COUNTS = "quarantine", "message_counts"
+KEY = ["sensor_id", "timestamp"]
 QUERY_ID = "sql.streaming.queryId"
 
 
@@ -37,26 +39,34 @@ def query_id(batch: DataFrame) -> str:
     return found
 
 
-def drop_repeats(decoded: DataFrame, delay: str) -> DataFrame:
-    """Drop a reading sent again within ``delay``; rejected messages all stay.
+def without_repeats(readings: DataFrame, base: str, kind: Kind, batch: str) -> DataFrame:
+    """Readings whose sensor and time are new: one of each, and none that other batches stored.
 
-    Readings older than the watermark are dropped as well, so late data is no
-    longer accepted without bound.
+    Compared with the key columns of the days the readings fall on, so a reading may
+    come again after any time and a late one is never lost. A batch run again ignores
+    what it stored itself.
     """
-    good = F.concat_ws("\x1f", "topic", "sensor_id", F.col("timestamp").cast("string"))
-    key = F.when(F.col("problem").isNull(), good).otherwise(F.uuid())
-    keyed = decoded.withColumn("_reading", key).withWatermark("timestamp", delay)
-    return keyed.dropDuplicatesWithinWatermark(["_reading"]).drop("_reading")
+    rest = [c for c in kind.columns if c not in KEY]
+    once = readings.groupBy(*KEY).agg(F.min(F.struct(*rest)).alias("_rest")).select(*KEY, "_rest.*")
+    once = once.select(*kind.columns).withColumn("day", utc_day(F.col("timestamp")))
+    days = [row.day for row in once.select("day").distinct().toLocalIterator()]
+    path, spark = table_path(base, kind.table), readings.sparkSession
+    if not days or not folders(spark, f"{path}/day=*"):
+        return once.drop("day")
+    stored = spark.read.schema(stored_schema(kind)).parquet(path)
+    stored = stored.where(F.col("day").isin(days) & (F.col("batch") != batch)).select("day", *KEY)
+    return once.join(stored, ["day", *KEY], "left_anti").select(*kind.columns)
 
 
 def write_batch(
-    decoded: DataFrame, base: str, batch: str, on_bad: str = "quarantine", declared: bool = False
+    decoded: DataFrame, base: str, batch: str, on_bad: str = "quarantine", declared: bool = False,
+    dedupe: bool = False,
 ) -> None:
-    """Route one micro-batch to the three raw tables and the quarantine.
+    """Route one micro-batch to the three raw tables and the quarantine, and count its messages.
 
     Each target keeps the rows in partitions named after the batch, so a batch run
-    again after a failure replaces what it wrote before. No shuffle: tasks write
-    what they read.
+    again after a failure replaces what it wrote before. Without ``dedupe`` there is
+    no shuffle: tasks write what they read.
     """
     decoded = decoded.persist()
     try:
@@ -66,44 +76,49 @@ def write_batch(
             if first is not None:
                 raise BadMessage(f"{first.problem} on {first.topic}: {first.value}")
         for kind in KINDS.values():
+            good = readings(decoded, kind)
+            if dedupe:
+                good = without_repeats(good, base, kind, batch)
             if declared:
-                append_declared(readings(decoded, kind), kind, batch)
+                append_declared(good, kind, batch)
             else:
-                append_raw(readings(decoded, kind), base, kind, batch)
-        (
-            bad.withColumn("batch", F.lit(batch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(table_path(base, QUARANTINE))
-        )
+                append_raw(good, base, kind, batch)
+        counts = decoded.groupBy("topic", "problem").agg(F.count("*").alias("messages"))
+        for rows, table in ((bad, QUARANTINE), (counts.coalesce(1), COUNTS)):
+            (
+                rows.withColumn("batch", F.lit(batch))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch")
+                .parquet(table_path(base, table))
+            )
     finally:
         decoded.unpersist()
 
 
 def ingest(
     messages: DataFrame, base: str, checkpoint: str, every: str | None = None,
-    on_bad: str = "quarantine", dedupe: str | None = None, declared: bool = False,
+    on_bad: str = "quarantine", dedupe: bool = False, declared: bool = False,
 ) -> StreamingQuery:
     """Run the ingest: a stream of ``topic, value`` into raw tables under ``base``.
 
     The checkpoint keeps the position in the topics. ``on_bad="fail"`` stops at the
     first micro-batch with a bad message instead of putting it in quarantine.
-    ``dedupe`` is a delay such as "10 minutes", see ``drop_repeats``. ``declared``
-    writes through the tables ``create_raw_tables`` declared over ``base``.
+    ``dedupe`` stores a reading once however often it is sent, see ``without_repeats``.
+    ``declared`` writes through the tables ``create_raw_tables`` declared over ``base``.
     """
     if on_bad not in ("quarantine", "fail"):
         raise ValueError(f"on_bad: {on_bad}")
-    decoded = decode(messages)
-    if dedupe:
-        decoded = drop_repeats(decoded, dedupe)
 
     def each(batch: DataFrame, number: int) -> None:
-        write_batch(batch, base, f"{query_id(batch)}-{number}", on_bad, declared)
+        write_batch(batch, base, f"{query_id(batch)}-{number}", on_bad, declared, dedupe)
 
-    return start(decoded.writeStream.foreachBatch(each), checkpoint, every)
+    return start(decode(messages).writeStream.foreachBatch(each), checkpoint, every)
 
 
-def rows_read(query: StreamingQuery) -> int:
-    """Messages read so far, over the progress reports the query still holds."""
-    return sum(p.numInputRows for p in query.recentProgress)
+def rows_read(spark: SparkSession, base: str) -> int:
+    """Messages read so far, good and bad, over all micro-batches that wrote under ``base``."""
+    if not folders(spark, f"{table_path(base, COUNTS)}/batch=*"):
+        return 0
+    counts = spark.read.schema("messages bigint, batch string").parquet(table_path(base, COUNTS))
+    return counts.agg(F.sum("messages")).head()[0] or 0

@@ -1,17 +1,28 @@
-"""Hourly models, their join and activity sessions, kept up to date on streams."""
+"""Hourly models, their join and activity runs on streams.
+
+``keep_models`` and ``keep_runs`` keep tables that at any time equal the batch result over
+all readings taken in so far, open hours and late readings included. The append streams
+emit each hour or run once, when the watermark has passed it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import round_numeric
+from ..functions.times import utc_day
 from ..operators.rollup import hourly_rollup
-from ..session import SESSION_MERGE
-from .ingest import start
+from ..schemas import KINDS
+from ..sources.tables import append_raw, read_raw, table_path, write_days
+from .ingest import query_id, start
+from .kept import keep, kept_rows, last_done
 
 
 def hourly_stream(
@@ -63,14 +74,95 @@ def activity_sessions(raw: DataFrame, max_gap: str = "1 hour", delay: str = "1 h
     """Unbroken runs of readings per sensor: a run is emitted when the sensor has gone silent.
 
     Readings more than ``max_gap`` apart are in two runs. The state holds one row per
-    open run. Readings are merged into runs in each task first, so a hot sensor does
-    not send all its readings to one.
+    open run. With ``spark_session()``'s settings readings are merged into runs in each
+    task first, so a hot sensor does not send all its readings to one.
     """
-    # A setting of the session, read when the stream starts.
-    raw.sparkSession.conf.set(SESSION_MERGE, "true")
     runs = raw.withWatermark("timestamp", delay).groupBy(
         "sensor_id", F.session_window("timestamp", max_gap).alias("run")
     )
     return runs.agg(
         F.count("*").alias("readings"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")
     ).select("sensor_id", "readings", "first_seen", "last_seen")
+
+
+def keep_models(
+    raw: dict[str, DataFrame],
+    models: dict[str, Callable[[dict[str, DataFrame]], DataFrame]],
+    base: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep hourly models of raw streams (by table name) under ``base``, complete after each micro-batch.
+
+    A micro-batch adds its readings to the raw tables and recomputes, from those, the
+    days it touched; a model gets the raw tables cut to these days. Run again, it
+    replaces both.
+    """
+    kinds = [kind for kind in KINDS.values() if kind.table in raw]
+    fields = {f.name: f.dataType for kind in kinds for f in kind.schema}
+    tagged = [
+        raw[kind.table].select(
+            F.lit(kind.table).alias("_table"),
+            *[(F.col(c) if c in kind.columns else F.lit(None).cast(t)).alias(c) for c, t in fields.items()],
+        )
+        for kind in kinds
+    ]
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark, batch = batch.sparkSession, batch.persist()
+        name = f"{query_id(batch)}-{number}"
+        try:
+            days = [row.day for row in batch.select(utc_day(F.col("timestamp")).alias("day")).distinct().collect()]
+            for kind in kinds:
+                append_raw(batch.where(F.col("_table") == kind.table).select(*kind.columns), base, kind, name)
+        finally:
+            batch.unpersist()
+        if days:
+            touched = {k.table: read_raw(spark, base, k).where(F.col("day").isin(days)) for k in kinds}
+            for model, build in models.items():
+                write_days(build(touched), base, model)
+
+    return start(reduce(DataFrame.unionByName, tagged).writeStream.foreachBatch(each), checkpoint, every)
+
+
+def kept_model(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """An hourly model that ``keep_models`` keeps."""
+    return spark.read.parquet(table_path(base, name)).drop("day")
+
+
+RUNS = "sensor_id string, readings bigint, first_seen timestamp, last_seen timestamp"
+
+
+def keep_runs(
+    raw: DataFrame, base: str, checkpoint: str, max_gap: str = "1 hour", every: str | None = None
+) -> StreamingQuery:
+    """Keep all unbroken runs of readings per sensor, those still open included.
+
+    A micro-batch is cut into runs, which join what is kept of its sensors: a late reading
+    extends runs or closes the gap between two.
+    """
+    gap = F.expr(f"INTERVAL {max_gap}")
+
+    def joined(runs: DataFrame) -> DataFrame:
+        order = W.partitionBy("sensor_id").orderBy("first_seen", "last_seen")
+        past = F.max("last_seen").over(order.rowsBetween(W.unboundedPreceding, -1))
+        opens = F.when(F.col("first_seen") <= past + gap, 0).otherwise(1)
+        numbered = runs.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(order))
+        return numbered.groupBy("sensor_id", "_run").agg(
+            F.sum("readings").alias("readings"), F.min("first_seen").alias("first_seen"),
+            F.max("last_seen").alias("last_seen"),
+        ).drop("_run")
+
+    def each(batch: DataFrame, number: int) -> None:
+        runs = batch.groupBy("sensor_id", F.session_window("timestamp", max_gap).alias("run")).agg(
+            F.count("*").alias("readings"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")
+        )
+        keep(runs.drop("run"), "sensor_id", f"{base.rstrip('/')}/{query_id(batch)}", number, joined)
+
+    return start(raw.writeStream.foreachBatch(each), checkpoint, every)
+
+
+def current_runs(spark: SparkSession, base: str, query: str) -> DataFrame:
+    """The runs of a ``keep_runs`` stream as of its last finished micro-batch, by its query id."""
+    path = f"{base.rstrip('/')}/{query}"
+    return kept_rows(spark, path, RUNS, last_done(spark, path))

@@ -39,6 +39,10 @@ def statuses(df):
         (0.0, 2, "0.00"),
         (None, 2, None),
         (float("nan"), 2, None),
+        (float("inf"), 2, None),
+        (1e19, 2, "10000000000000000000.00"),
+        (1e20, 2, "100000000000000000000.00"),
+        (-1.25e25, 1, "-12500000000000000000000000.0"),
     ],
 )
 def test_round_numeric(spark, value, places, want):
@@ -283,3 +287,25 @@ def test_expected_levels_by_metric(spark, air):
     row = expected_levels(traffic).head()
     assert row.expected_vehicle_count == pytest.approx(400 * factor)
     assert row.expected_avg_speed_kmh == pytest.approx(45 / 0.5)
+
+
+def test_a_number_no_decimal_holds_is_an_error(spark):
+    df = spark.createDataFrame([(1e60,)], "x double").select(round_numeric(F.col("x"), 2))
+    with pytest.raises(Exception, match="no decimal holds"):
+        df.collect()
+
+
+def test_readings_without_a_time_are_an_hour_of_their_own(spark, air):
+    rows = air([("2024-01-01 00:10:00", "s", "z", 1.0), (None, "s", "z", 3.0), (None, "s", "z", 5.0)])
+    got = sorted((str(r.hour), r.reading_count, float(r.avg_pm25)) for r in models.air_quality_hourly(rows).collect())
+    assert got == [("2024-01-01 00:00:00", 1, 1.0), ("None", 2, 4.0)]
+
+
+def test_a_fleet_beyond_the_decimal_range_still_drifts(spark, air):
+    rows = air([("2024-01-01 00:00:00", f"s{i}", "z", 1e19) for i in range(9)] + [("2024-01-01 00:00:00", "t", "z", 9e20)])
+    assert statuses(models.sensor_health(rows))["t"].startswith("WARNING")
+
+
+def test_group_limits_for_any_n(spark):
+    df = spark.range(10_000).withColumn("k", F.col("id") % 3)
+    assert last_n(df, "k", [F.desc("id")], 2000)._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 2

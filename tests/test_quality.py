@@ -34,7 +34,8 @@ def test_unique_ignores_nulls(spark):
 
 
 def test_suites_are_complete():
-    assert sum(len(rules) for rules in RAW_CHECKS.values()) == 11
+    # Eleven, and two on NaN, which a decimal cannot hold.
+    assert sum(len(rules) for rules in RAW_CHECKS.values()) == 13
     kinds = [r.kind for rules in MODEL_CHECKS.values() for r in rules]
     assert (kinds.count("missing"), kinds.count("unique")) == (12, 2)
 
@@ -53,3 +54,17 @@ def test_checks_during_a_write_need_no_extra_pass(spark, tmp_path):
     assert rows == q.check(frame(spark, BAD), "t", rules).collect()
     with pytest.raises(ValueError):
         q.check_while_writing(df, "t", [q.unique("k")])
+
+
+def test_rules_that_make_no_sense_are_refused(spark):
+    df = spark.range(3)
+    with pytest.raises(ValueError, match="no rules"):
+        q.check(df, "t", [])
+    with pytest.raises(ValueError, match="cannot measure"):
+        q.check(df, "t", [q.Rule("r", "median", "id")])
+
+
+def test_nan_is_counted(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    row = q.check(df, "t", [q.no_nan("x")]).head()
+    assert (row.value, row.passed) == (1.0, False)

@@ -11,7 +11,7 @@ from sensorloom.plans import models
 from sensorloom.schemas import AIR, ENERGY, KINDS, TRAFFIC
 from sensorloom.sources import topics
 from sensorloom.sources.tables import append_declared, create_raw_tables, read_raw
-from sensorloom.streaming import health, ingest, rollups
+from sensorloom.streaming import health, ingest, kept, rollups
 
 T0 = "2024-01-01T00:00:00+00:00"
 
@@ -73,6 +73,17 @@ def count(spark, tmp_path, kind):
         (("sensor_air", " " + message(AIR)[1] + "\n"), None),
         (message(AIR, extra={"a": {"b": ["}{", {}, {"c": 'x"}'}]}}), None),
         (message(AIR, zone_id='a}{"b'), None),
+        *[(message(AIR, extra=json.loads('{"a":[' * n + "1" + "]}" * n)), None) for n in (9, 40)],
+        (message(AIR, pm25_level="3.5f"), topics.WRONG_TYPE),
+        (message(AIR, pm25_level="0x1p3"), topics.WRONG_TYPE),
+        (message(TRAFFIC, vehicle_count="5d"), topics.WRONG_TYPE),
+        (message(AIR, pm25_level="NaN"), topics.WRONG_TYPE),
+        (message(AIR, pm25_level="Infinity"), topics.WRONG_TYPE),
+        (message(AIR, pm25_level="-1.5e3"), None),
+        (message(AIR, pm25_level=float("nan")), topics.BAD_JSON),
+        (("sensor_air", message(AIR)[1] + ',"end":"1"'), topics.BAD_JSON),
+        (("sensor_air", message(AIR)[1] + ',"end":{"a":[1]}'), topics.BAD_JSON),
+        (message(AIR, extra=[{"a": 1}], more=2), None),
         (("sensor_noise", message(AIR)[1]), topics.UNKNOWN_TOPIC),
         ((None, message(AIR)[1]), topics.UNKNOWN_TOPIC),
     ],
@@ -136,11 +147,16 @@ def test_kafka_needs_its_connector(spark, tmp_path):
 def test_ingest_routes_and_quarantines(spark, tmp_path):
     put(spark, tmp_path / "in", [message(AIR), message(TRAFFIC), message(TRAFFIC, sensor_id="t"), message(ENERGY),
                                  message(AIR, zone_id=None), ("other", "{}"), ("sensor_air", "xx")])
-    query = run(spark, tmp_path)
+    run(spark, tmp_path)
     assert [count(spark, tmp_path, k) for k in KINDS.values()] == [1, 2, 1]
     bad = spark.read.parquet(str(tmp_path / "out" / ingest.QUARANTINE)).collect()
     assert sorted(r.problem for r in bad) == [topics.BAD_JSON, topics.NULL_REQUIRED, topics.UNKNOWN_TOPIC]
-    assert ingest.rows_read(query) == 7
+    assert ingest.rows_read(spark, str(tmp_path / "out")) == 7
+    for _ in range(3):
+        put(spark, tmp_path / "in", [message(AIR, sensor_id="more"), ("other", "{}")])
+        run(spark, tmp_path)
+    assert ingest.rows_read(spark, str(tmp_path / "out")) == 13
+    assert ingest.rows_read(spark, str(tmp_path / "nothing")) == 0
 
 
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
@@ -214,9 +230,35 @@ def test_fail_mode_stops_before_writing(spark, tmp_path):
 def test_dedupe_drops_repeats_and_keeps_rejects(spark, tmp_path):
     put(spark, tmp_path / "in", [message(AIR), message(AIR), message(AIR, sensor_id="s2"), message(TRAFFIC)])
     put(spark, tmp_path / "in", [message(AIR), ("sensor_air", "xx"), ("sensor_air", "xx")])
-    run(spark, tmp_path, dedupe="10 minutes")
+    run(spark, tmp_path, dedupe=True)
     assert [count(spark, tmp_path, k) for k in KINDS.values()] == [2, 1, 0]
     assert spark.read.parquet(str(tmp_path / "out" / ingest.QUARANTINE)).count() == 2
+    # Sent again much later, after a reading dated far ahead, and with readings that are old but new.
+    put(spark, tmp_path / "in", [message(AIR, timestamp="2099-01-01T00:00:00Z"), message(AIR)])
+    run(spark, tmp_path, dedupe=True)
+    put(spark, tmp_path / "in", [message(AIR), message(AIR, timestamp="2024-01-01T00:00:01Z"),
+                                 message(AIR, timestamp="2001-01-01T00:00:00Z"), message(TRAFFIC)])
+    run(spark, tmp_path, dedupe=True)
+    assert [count(spark, tmp_path, k) for k in KINDS.values()] == [5, 1, 0]
+    assert ingest.rows_read(spark, str(tmp_path / "out")) == 13
+
+
+def test_dedupe_tells_the_two_hours_of_a_clock_change_apart(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR, timestamp=f"2024-10-27T0{h}:30:00Z") for h in (0, 1)])
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        run(spark, tmp_path, dedupe=True)
+        assert count(spark, tmp_path, AIR) == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_deduped_batch_run_again_keeps_its_readings(spark, tmp_path):
+    decoded = topics.decode(stream_rows(spark, [message(AIR), message(AIR), message(TRAFFIC)]))
+    for _ in range(2):
+        ingest.write_batch(decoded, str(tmp_path / "out"), "q-0", dedupe=True)
+    assert [count(spark, tmp_path, k) for k in KINDS.values()] == [1, 1, 0]
+    assert ingest.rows_read(spark, str(tmp_path / "out")) == 3
 
 
 def put_air(spark, folder, rows):
@@ -263,7 +305,27 @@ def test_streaming_health_equals_batch_after_each_batch(spark, tmp_path):
         batch = spark.read.schema(AIR.schema).parquet(str(tmp_path / "in"))
         assert sorted(got.collect()) == sorted(models.sensor_health(batch, last=20).collect())
     folder = tmp_path / "kept" / str(query.id)
-    assert sorted(p.name for p in folder.iterdir()) == ["done0", "done1", "kept0", "kept1"]
+    assert sorted(p.name for p in folder.iterdir()) == ["done0", "done1", "rows"]
+
+
+def test_buckets_without_new_readings_are_not_rewritten(spark, tmp_path):
+    def send(*sensors):
+        put_air(spark, tmp_path / "in", [("2024-01-01 00:00:00", s, 5.0) for s in sensors])
+        query = health.track_health(air_stream(spark, tmp_path / "in"), str(tmp_path / "kept"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        rows = tmp_path / "kept" / str(query.id) / "rows"
+        return {p.name: sorted(v.name for v in p.glob("version=*")) for p in rows.glob("bucket=*")}
+
+    first = send(*(f"s{i}" for i in range(30)))
+    second = send("s1")
+    changed = {b for b in first if second[b] != first[b]}
+    assert len(first) > 10 and len(changed) == 1
+    third, fourth = send("s1"), send("s1")
+    bucket = changed.pop()
+    # The last readable version and the one before it stay.
+    assert [first[bucket], second[bucket], third[bucket], fourth[bucket]] == [
+        ["version=0"], ["version=0", "version=1"], ["version=1", "version=2"], ["version=2", "version=3"]
+    ]
 
 
 def test_health_of_an_unfinished_batch_is_not_read(spark, tmp_path, monkeypatch):
@@ -275,15 +337,12 @@ def test_health_of_an_unfinished_batch_is_not_read(spark, tmp_path, monkeypatch)
     query = track()
     query.awaitTermination()
     put_air(spark, tmp_path / "in", [("2024-01-01 00:00:05", "s2", 7.0)])
-    real = health._slot
 
-    def fails_on_marks(base, name, kind, number):
-        if kind == "done":
-            raise RuntimeError("lost")
-        return real(base, name, kind, number)
+    def fails(*_):
+        raise RuntimeError("lost")
 
     with monkeypatch.context() as patch, pytest.raises(StreamingQueryException):
-        patch.setattr(health, "_slot", fails_on_marks)
+        patch.setattr(kept, "_mark", fails)
         track().awaitTermination()
     sensors = [r.sensor_id for r in health.current_health(spark, str(tmp_path / "kept"), query.id).collect()]
     assert sensors == ["s1"]
@@ -337,3 +396,60 @@ def test_joined_hours_wait_for_the_slower_stream(spark, tmp_path):
     out = rollups.joined_hours_stream(traffic, air_stream(spark, tmp_path / "air"), "1 minute")
     rollups.append_files(out, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.schema(out.schema).parquet(str(tmp_path / "out")).count() == 0
+
+
+def dozen_batches(spark, tmp_path, rows):
+    """Files of rows for a stream that takes one per micro-batch."""
+    for start in range(12):
+        put_air(spark, tmp_path / "in", rows[start::12])
+    return spark.readStream.schema(AIR.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+
+def test_kept_models_equal_batch_results_late_and_open_hours_included(spark, tmp_path):
+    rows = [(f"2024-01-{1 + n * 7 % 5:02d} {n * 5 % 24:02d}:{n % 60:02d}:00", f"s{n % 3}", float(n)) for n in range(240)]
+    source = dozen_batches(spark, tmp_path, rows)
+    base = str(tmp_path / "out")
+
+    def run(stream):
+        query = rollups.keep_models(
+            {AIR.table: stream}, {"hours": lambda raw: models.air_quality_hourly(raw[AIR.table])}, base, str(tmp_path / "cp")
+        )
+        query.awaitTermination()
+        batch = models.air_quality_hourly(spark.read.schema(AIR.schema).parquet(str(tmp_path / "in")))
+        assert sorted(rollups.kept_model(spark, base, "hours").collect()) == sorted(batch.collect())
+        return query
+
+    assert sum(p.numInputRows > 0 for p in run(source).recentProgress) >= 10
+    put_air(spark, tmp_path / "in", [("2024-01-02 03:30:00", "late", 7.0)])
+    run(source)
+
+
+def test_kept_runs_equal_batch_results(spark, tmp_path):
+    rows = [(f"2024-01-01 {n * 7 % 24:02d}:{n * 13 % 60:02d}:00", f"s{n % 3}", float(n)) for n in range(60)]
+    source = dozen_batches(spark, tmp_path, rows)
+    query = rollups.keep_runs(source, str(tmp_path / "runs"), str(tmp_path / "cp"), "20 minutes")
+    query.awaitTermination()
+    want = []
+    for sensor in ("s0", "s1", "s2"):
+        times = sorted(dt.datetime.fromisoformat(t) for t, s, _ in rows if s == sensor)
+        runs = [[times[0]]]
+        for t in times[1:]:
+            if t - runs[-1][-1] > dt.timedelta(minutes=20):
+                runs.append([])
+            runs[-1].append(t)
+        want += [(sensor, len(r), r[0], r[-1]) for r in runs]
+    got = rollups.current_runs(spark, str(tmp_path / "runs"), query.id).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_registered_streams_take_many_batches(spark):
+    from sensorloom.entry_events import stream_events
+
+    seen = []
+    query = (
+        stream_events(spark, "/root/testdata/sf0.001", copies=2)
+        .writeStream.foreachBatch(lambda batch, number: seen.append(batch.count()))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert len(seen) >= 10 and sum(seen) == 2000

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sensorloom.functions.times import as_utc_instant
@@ -10,7 +12,7 @@ from sensorloom.plans.refresh import refresh_models, refresh_tables
 from sensorloom.plans.suites import quality_models
 from sensorloom.schemas import AIR, KINDS
 from sensorloom.sources import tables
-from sensorloom.sources.events import raw_from_events, read_events
+from sensorloom.entry_events import raw_from_events, read_events
 
 
 def plan(df):
@@ -150,3 +152,44 @@ def test_hourly_models_shuffle_once_per_input_and_join_without_more(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("Exchange hashpartitioning") == 2 and text.count("SortMergeJoin") == 1
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in text
+
+
+def test_refreshed_days_lose_what_raw_no_longer_has(spark, air, tmp_path):
+    base = str(tmp_path)
+    tables.append_raw(days(air, 1, 3), base, AIR, "b")
+    start = dt.datetime(2024, 1, 1)
+    tables.refresh_days(tables.read_raw(spark, base, AIR), models.air_quality_hourly, base, "hourly", start)
+    fewer = days(air, 1, 3).where("day(timestamp) <> 2")
+    tables.append_raw(fewer, base, AIR, "b", corrected=True)
+    raw = tables.read_raw(spark, base, AIR)
+    assert raw.count() == 4
+    tables.refresh_days(raw, models.air_quality_hourly, base, "hourly", start)
+    got = spark.read.parquet(f"{base}/hourly").drop("day").collect()
+    assert sorted(got) == sorted(models.air_quality_hourly(raw).collect())
+
+
+def test_compaction_leaves_few_files_and_may_break_off(spark, air, tmp_path, monkeypatch):
+    import glob
+
+    base = str(tmp_path)
+    for number in range(6):
+        tables.append_raw(days(air, 1, 4, float(number)), base, AIR, f"q-{number}")
+    want = sorted(tables.read_raw(spark, base, AIR).collect())
+    real = tables._put_in_place
+
+    def breaks(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_put_in_place", breaks)
+    with pytest.raises(RuntimeError):
+        tables.compact(spark, base, AIR, "2024-01-04")
+    # Nothing is lost or doubled by what was left behind.
+    assert sorted(tables.read_raw(spark, base, AIR).collect()) == want
+    monkeypatch.setattr(tables, "_put_in_place", real)
+    for _ in range(2):
+        tables.compact(spark, base, AIR, "2024-01-04")
+        assert sorted(tables.read_raw(spark, base, AIR).collect()) == want
+    # One folder for the closed batches and the newest batch, which may be run again.
+    assert [len(glob.glob(f"{base}/raw_air_quality/day=2024-01-0{d}/batch=*")) for d in (1, 2, 3, 4)] == [2, 2, 2, 6]
+    tables.append_raw(days(air, 1, 4, 5.0), base, AIR, "q-5")
+    assert sorted(tables.read_raw(spark, base, AIR).collect()) == want
