@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom.llm.words import SPACE, chunks, find_words, mix, run_hashes, shingle_hashes
 
@@ -239,17 +240,15 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     other than text and n_chars pass through untouched.
     """
     kept = [c for c in docs.columns if c != "score"]
-    own = ["_" * (1 + max(map(len, kept))) + c for c in ("text", "n_chars")]  # names that docs can't have
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in chunks(batches, own[0]):
-            found = machine.scores(*features(data, offsets, _meta(part, own[1])))
+        for part, data, offsets in chunks(batches):
+            found = machine.scores(*features(data, offsets, _meta(part, "n_chars")))
             columns = [part.column(part.schema.get_field_index(c)) for c in kept] + [pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "score"])
 
-    inputs = [F.col("text").cast("string").alias(own[0]), F.col("n_chars").cast("double").alias(own[1])]
-    inner = docs.select(*(F.col(f"`{c}`") for c in kept), *inputs)
-    return inner.mapInArrow(run, inner.drop(*own).schema.add("score", "double"))
+    inner = docs.select(*(F.col(f"`{c}`") for c in kept))
+    return inner.mapInArrow(run, T.StructType([*inner.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def good(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20  # bytes hashed at a time
-CHUNK = 2 << 20  # bytes of whole documents handed on at a time
+CHUNK = 1 << 20  # bytes of whole documents handed on at a time
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
