@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from compare import oracle_rows, spark_rows
 from conftest import prose  # tests/llm/conftest.py
@@ -248,6 +249,51 @@ def test_passages_against_brute_force(spark):
     assert set(spans) <= set(truth) | {200}
 
 
+def changed(rng, own, kind):
+    """A list of words with one of them replaced, one added or one left out."""
+    k = rng.randrange(1, len(own) - 1)
+    return own[:k] + ([] if kind == "deletion" else [prose(rng, 1) + "x"]) + own[k + (kind != "insertion") :]
+
+
+@pytest.mark.parametrize("kind", ["substitution", "insertion", "deletion"])
+def test_passages_with_one_changed_word(spark, kind):
+    rng, rows, want = random.Random(21), [], {}
+    for pair in range(0, 240, 2):
+        own = prose(rng, rng.randint(51, 60)).split()
+        for doc, part in ((pair, own), (pair + 1, changed(rng, own, kind))):
+            before = rng.randint(0, 60)
+            rows.append((doc, " ".join([prose(rng, before), *part, prose(rng, rng.randint(0, 60))])))
+            want[doc] = (before, before + len(part))
+    spans = collections.defaultdict(list)
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        spans[r.doc_id].append((r.start_word, r.start_word + r.n_words))
+    # The first or last word can be the changed one's neighbour, and its few words no shingle.
+    held = [doc for doc, (a, b) in want.items() if any(x <= a + 6 and b - 6 <= y for x, y in spans[doc])]
+    assert len(held) >= 0.95 * len(want)
+
+
+def test_shared_passages_against_brute_force():
+    rng = random.Random(1)
+    for _ in range(120):
+        base, sides = [rng.randrange(rng.choice([6, 1000])) for _ in range(rng.randint(8, 20))], []
+        for _ in range(2):
+            own = base + base[: rng.choice([0, 0, 9])]
+            for _ in range(rng.randint(0, 3)):
+                k = rng.randrange(len(own))
+                own[k : k + rng.randint(0, 1)] = [rng.randrange(10**6)] * rng.randint(0, 1)
+            sides.append([rng.randrange(50) for _ in range(rng.randint(0, 5))] + own + [rng.randrange(50) for _ in range(rng.randint(0, 5))])
+        a, b = sides
+        want = set()
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            for u, v in itertools.product(range(i + 8, len(a) + 1), range(j + 8, len(b) + 1)):
+                if a[i] == b[j] and a[u - 1] == b[v - 1]:
+                    x, y = set(a[i:u]), set(b[j:v])
+                    if 100 * len(x & y) >= 80 * len(x | y):
+                        want |= {(0, k) for k in range(i, u)} | {(1, k) for k in range(j, v)}
+        got = passages.shared_passages(np.array(a, np.uint64), np.array(b, np.uint64), 8, 80)
+        assert {(0, k) for p in got for k in range(p[0], p[1])} | {(1, k) for p in got for k in range(p[2], p[3])} == want
+
+
 def test_passages_of_awkward_rows(awkward, none, awkward_rows):
     got = passages.repeated_passages(awkward).collect()
     rows = [r[:2] for r in awkward_rows if r[0] is not None]
