@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve over source, language and size, for file pruning.
 
-Each dimension is quantised to 32 steps of near-equal row counts, the cells of the
+Each dimension is quantised to 32 steps of near-equal row counts, sources and languages by
+their whole values and sizes by 16 codes per doubling. The cells of the
 resulting cube are ordered along a three-dimensional Hilbert curve, rows follow their
 cells, and the order is cut into runs. Everything is DataFrame expressions.
 
@@ -11,12 +12,10 @@ is 4,096 slices.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import written
+from sensorloom.llm.common import few_or_shuffled, written
 
 BITS = 5
 SLICES = 4096
@@ -62,12 +61,6 @@ def hilbert_index(x: Column, y: Column, z: Column, bits: int = BITS) -> Column:
     return F.aggregate(levels, start, level, lambda state: state["place"])
 
 
-def _text_code(column: str, prefix: str) -> Column:
-    """The two bytes after what all values share, as a number; null -1. Order follows the text's bytes."""
-    after = F.expr(f"hex(substring(cast(`{column}` AS binary), {len(prefix.encode()) + 1}, 2))")
-    return F.coalesce(F.conv(F.rpad(after, 4, "0"), 16, 10).cast("int"), F.lit(-1))
-
-
 def _size_code(size: Column) -> Column:
     """The number of bits and the four leading bits of a size from 16 on: 16 steps per doubling."""
     bits = F.length(F.bin(size))
@@ -84,26 +77,23 @@ def placed(docs: DataFrame, shards: int = 40) -> DataFrame:
     """
     text = F.col("text").cast("string")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long")
-    ends = docs.agg(*(f(c).alias(f"{n}_{c}") for c in ("source", "lang") for n, f in (("low", F.min), ("high", F.max)))).first()
-    shared = {c: os.path.commonprefix([ends[f"low_{c}"] or "", ends[f"high_{c}"] or ""]) for c in ("source", "lang")}
     slim = docs.select(
         F.col("doc_id").cast("long"), size.alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        *(_text_code(c, shared[c]).alias(f"{c}_code") for c in ("source", "lang")),
+        *(F.col(c).cast("string").alias(f"{c}_code") for c in ("source", "lang")),
     )
     slim = written(slim.withColumn("size_code", _size_code(F.col("size"))), "shard-rows")
 
-    # Steps of near-equal counts per dimension: 65,537 codes at most each.
-    codes = F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), F.col(f"{d}_code").alias("code")) for d in DIMENSIONS)))
-    counts = slim.select(codes.alias("c")).groupBy("c.dimension", "c.code").agg(F.count("*").alias("rows"))
-    ordered = Window.partitionBy("dimension").orderBy("code")
-    before = F.sum("rows").over(ordered) - F.col("rows")
-    step = F.floor(before * (1 << BITS) / F.sum("rows").over(Window.partitionBy("dimension"))).cast("int")
-    steps = written(counts.select("dimension", "code", step.alias("step")), "shard-steps")
+    # Steps of near-equal counts per dimension; the window has a row per different value.
     rows = slim
     for d in DIMENSIONS:
-        of = steps.where(F.col("dimension") == d).select(F.col("code").alias(f"{d}_code"), F.col("step").alias(f"{d}_step"))
-        rows = rows.join(F.broadcast(of), f"{d}_code").drop(f"{d}_code")
+        code = f"{d}_code"
+        counts = written(slim.groupBy(code).agg(F.count("*").alias("rows")), f"shard-{d}")
+        before = F.sum("rows").over(Window.orderBy(code)) - F.col("rows")
+        step = F.floor(before * (1 << BITS) / F.col("all")).cast("int")
+        of = counts.crossJoin(F.broadcast(counts.agg(F.sum("rows").alias("all"))))
+        of = written(of.select(F.col(code).alias("code"), step.alias(f"{d}_step")), "shard-steps")
+        rows = rows.join(few_or_shuffled(of), F.col(code).eqNullSafe(F.col("code"))).drop(code, "code")
     cell = F.col("source_step") * (1 << 2 * BITS) + F.col("lang_step") * (1 << BITS) + F.col("size_step")
     piece = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SLICES)).cast("int")
     rows = rows.withColumn("cell", cell).withColumn("slice", piece)

@@ -67,6 +67,22 @@ def test_files_prune(spark, tmp_path):
     assert spread < 10  # of 20 sources
 
 
+def test_steps_tell_whole_values_apart(spark):
+    """Sources and languages that begin alike, beside one that shares no beginning with them."""
+    sources = ["common_crawl", "common_voice", *(f"src{i}" for i in range(10)), *(f"src1{i}" for i in range(4))]
+    langs = ["zh-cn", "zh-tw", "zh", None]
+    rows = [(i, "w" * (i % 7), sources[i % 16], langs[i // 16 % 4]) for i in range(1600)]
+    rows += [(2000, "w", "", "en"), (2001, "w", "hot", ""), (2002, "w", None, "en")]
+    got = hilbert_shards.placed(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
+    check_shards(got, [r[:2] for r in rows])
+    of = {r[0]: r[2:] for r in rows if r[0] < 1600}
+    steps = {(of[r.doc_id][0], r.source_step) for r in got if r.doc_id in of}
+    assert len(steps) == len({s for _, s in steps}) == 16
+    assert [s for s, _ in sorted(steps, key=lambda x: x[1])] == sorted(sources)
+    steps = {(of[r.doc_id][1], r.lang_step) for r in got if r.doc_id in of}
+    assert len(steps) == len({s for _, s in steps}) == 4
+
+
 def levels(sizes, total=1.5, repeats=2.0):
     """Targets by sharing out and resharing what is above the caps, over and over."""
     order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
