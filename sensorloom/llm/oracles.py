@@ -54,4 +54,22 @@ SELECT page_id, segment, "offset", length, CASE digits WHEN '01' THEN 'missing'
 FROM o WHERE digits IN ('00', '01', '02')
 """
 
-ORACLES = {"op5_decontaminate": _OP5, "op7_near_dedup": _OP7, "op10_warc_audit": _OP10}
+# Every document is scored, with no masks or bounds.
+_OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+ i AS (SELECT row_number() OVER () AS k, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), '{_LETTERS}',
+        '{_LETTERS.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ts FROM benchmark),
+ q AS (SELECT k, item_id, unnest(ts) AS t FROM i),
+ s AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+ o AS (SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n, unnest(ws) AS t FROM d),
+ f AS (SELECT r, doc_id, n, t, count(*) AS tf FROM o SEMI JOIN q USING (t) GROUP BY ALL),
+ w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY t, n_docs),
+ p AS (SELECT k, item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+       FROM q JOIN f USING (t) JOIN w USING (t), s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank, doc_id, score
+FROM p WHERE score > 0 QUALIFY rank <= 10
+"""
+
+ORACLES = {"op5_decontaminate": _OP5, "op7_near_dedup": _OP7, "op10_warc_audit": _OP10, "op11_ranked_search": _OP11}

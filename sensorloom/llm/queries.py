@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, line_dedup, passages, perplexity_rules, quality_fm, token_counts, warc_audit
+from sensorloom.llm import cube_mix, decontaminate, hilbert_shards, html_text, line_dedup, passages, perplexity_rules, quality_fm, ranked_search, spelling_variants, token_counts, warc_audit
 from sensorloom.llm.common import table
 from sensorloom.llm.near_dedup import near_duplicates
 from sensorloom.llm.oracles import ORACLES  # noqa: F401
@@ -74,6 +74,18 @@ def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_audit.audit(whole, kept.join(places, "page_id").select(whole.columns))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_fm": op2_quality_fm,
@@ -85,4 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_perplexity_rules": op8_perplexity_rules,
     "op9_passages": op9_passages,
     "op10_warc_audit": op10_warc_audit,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_html_text": op12_html_text,
+    "op13_spelling_variants": op13_spelling_variants,
 }
