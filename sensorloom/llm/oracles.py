@@ -72,4 +72,33 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_
 FROM p WHERE score > 0 QUALIFY rank <= 10
 """
 
-ORACLES = {"op5_decontaminate": _OP5, "op7_near_dedup": _OP7, "op10_warc_audit": _OP10, "op11_ranked_search": _OP11}
+# crc32 bit by bit; neighbours from the words with one place cut out.
+_OP13 = rf"""
+WITH RECURSIVE steps AS (SELECT CAST(i AS UINTEGER) AS b, CAST(i AS UINTEGER) AS v, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT b, CASE WHEN v % 2 = 1 THEN xor(v >> 1, CAST(3988292384 AS UINTEGER)) ELSE v >> 1 END, k + 1 FROM steps WHERE k < 8),
+ crc AS MATERIALIZED (SELECT list(v ORDER BY b) AS t FROM steps WHERE k = 8),
+ runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}'),
+            '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+ r AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+ bytes AS (SELECT doc_id, run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM r),
+ h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+          lambda a, b: xor(a >> 8, CAST(t[xor(a & 255, b) + 1] AS BIGINT)))) AS h FROM bytes, crc),
+ words AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM h),
+ v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+ cut AS (SELECT word, n, i, left(word, CAST(i AS INTEGER)) || substr(word, CAST(i AS INTEGER) + 2) AS rest FROM v, LATERAL unnest(range(0, length(word))) u(i)),
+ near AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+   UNION SELECT c.word, v.word FROM cut c JOIN v ON c.rest = v.word
+   UNION SELECT v.word, c.word FROM cut c JOIN v ON c.rest = v.word),
+ best AS (SELECT near.word AS word, near.near AS near, m.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near FROM near JOIN v m ON m.word = near.near
+   QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY m.n DESC, near.near) = 1),
+ f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n FROM v LEFT JOIN best USING (word)),
+ up AS (SELECT word, word AS top, 0 AS k FROM f UNION ALL SELECT up.word, f.form, k + 1 FROM up JOIN f ON f.word = up.top WHERE f.form IS NOT NULL),
+ roots AS (SELECT word, arg_max(top, k) AS root FROM up GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN roots USING (word)
+"""
+
+ORACLES = {
+    "op5_decontaminate": _OP5, "op7_near_dedup": _OP7, "op10_warc_audit": _OP10, "op11_ranked_search": _OP11,
+    "op13_spelling_variants": _OP13,
+}

@@ -51,8 +51,9 @@ def rows_of(df):
     return collections.Counter(tuple(r) for r in df.collect())
 
 
-def test_search_matches_sql(spark):
-    assert spark_rows(QUERIES["op11_ranked_search"](spark, SF)) == oracle_rows(ORACLES["op11_ranked_search"], SF)
+@pytest.mark.parametrize("name", ["op11_ranked_search", "op13_spelling_variants"])
+def test_query_matches_sql(spark, name):
+    assert spark_rows(QUERIES[name](spark, SF)) == oracle_rows(ORACLES[name], SF)
 
 
 def awkward_items(rng, docs):
