@@ -291,6 +291,8 @@ def oracle_sql() -> dict[str, str]:
             "WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-12 18:00:00'"
         ),
         "table_refreshed_days": models(REFRESHED),
+        "sql_compacted_counts": raw("""SELECT sensor_id, CAST(sum(CASE WHEN CAST(ts AS DATE) = DATE '2024-01-05' THEN 2 ELSE 1 END) AS BIGINT) AS readings
+            FROM raw_energy GROUP BY sensor_id"""),
         "table_compacted": raw("SELECT ts AS timestamp, sensor_id, zone_id, kwh_consumed, peak_demand_kw FROM raw_energy"),
         "null_hours": TIMELESS + "SELECT * FROM timeless",
         "quality_null_hours": TIMELESS + " UNION ALL ".join(

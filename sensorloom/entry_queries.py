@@ -21,11 +21,12 @@ from .plans.refresh import refresh_models, refresh_tables
 from .plans.suites import MODEL_CHECKS, quality_models, quality_raw
 from .schemas import AIR, ENERGY, KINDS, TRAFFIC, Kind
 from .session import scratch_dir
-from .sources.tables import append_raw, compact, create_raw_tables, read_raw, refresh_days, save_files, save_view
+from .sources.tables import append_declared, append_raw, compact, create_raw_tables, read_raw, refresh_days, save_files, save_view
 from .sources.topics import decode, publish
 from .streaming.health import current_health, track_health
-from .streaming.ingest import QUARANTINE, ingest, rows_read
-from .streaming.rollups import current_runs, keep_models, keep_runs, kept_model
+from .streaming.hours import keep_hours, kept_correlation, kept_joined_hours, kept_model
+from .streaming.ingest import QUARANTINE, ingest, read_quarantine, rows_read
+from .streaming.rollups import current_runs, keep_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,16 +150,42 @@ def table_refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.parquet(f"{base}/hourly").drop("day"))
 
 
+def in_batches(spark: SparkSession, sf_dir: str, kind: Kind, batches: int = 4) -> str:
+    """A raw table written in several batches of a stream; the base folder."""
+    base, readings = scratch_dir(spark, "tables"), instants(raws(spark, sf_dir)[kind.table])
+    for number in range(batches):
+        part = F.pmod(F.xxhash64("timestamp", "sensor_id"), F.lit(batches)) == number
+        append_raw(readings.where(part), base, kind, f"stream-{number}", rebalance=True)
+    return base
+
+
 def table_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The energy table in several batches, folded into one folder per closed day."""
-    base, readings = scratch_dir(spark, "tables"), instants(raws(spark, sf_dir)[ENERGY.table])
-    for number in range(4):
-        part = F.pmod(F.xxhash64("timestamp", "sensor_id"), F.lit(4)) == number
-        append_raw(readings.where(part), base, ENERGY, f"stream-{number}", rebalance=True)
+    """The energy table in several batches, those of closed days folded into one."""
+    base = in_batches(spark, sf_dir, ENERGY)
     compact(spark, base, ENERGY, "2024-01-30")
     return plain(read_raw(spark, base, ENERGY).drop("day"))
 
 
+def sql_compacted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per sensor through SQL on a declared table that was compacted twice, late readings between."""
+    base, name = in_batches(spark, sf_dir, ENERGY), f"sensorloom_{uuid.uuid4().hex}"
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, 'database')}'")
+    spark.sql(f"USE {name}")
+    try:
+        create_raw_tables(spark, base)
+        compact(spark, base, ENERGY, "2024-01-20", declared=True)
+        late = spark.table(ENERGY.table).where("day = DATE '2024-01-05'").drop("day", "batch")
+        append_declared(late, ENERGY, "stream-4")
+        append_declared(late.limit(0), ENERGY, "stream-5")
+        compact(spark, base, ENERGY, "2024-01-30", declared=True)
+        counts = spark.sql(f"SELECT sensor_id, count(*) AS readings FROM {ENERGY.table} GROUP BY sensor_id")
+        return save_files(counts, base, "answer")
+    finally:
+        spark.sql(f"USE {before}")
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def timeless_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly air model of readings of which some, from error events, have no time."""
     events = read_events(spark, sf_dir)
@@ -218,7 +245,7 @@ def stored_counts(spark: SparkSession, base: str) -> list[DataFrame]:
         ).agg(F.count("*").alias("row_count"))
         for kind in KINDS.values()
     ]
-    rejected = spark.read.parquet(f"{base}/{QUARANTINE}")
+    rejected = read_quarantine(spark, base)
     counts.append(
         rejected.groupBy(F.lit(QUARANTINE).alias("table_name"), "problem").agg(F.count("*").alias("row_count"))
     )
@@ -250,34 +277,28 @@ def stream_ingest_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*stored_counts(spark, base), read])
 
 
-def hourly(kind: Kind, name: str, rollup: Callable[[DataFrame], DataFrame]) -> Query:
+def hourly(kind: Kind, name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder, source = scratch_dir(spark, "hourly"), {kind.table: stream_raws(spark, sf_dir)[kind.table]}
-        keep_models(source, {name: lambda raw: rollup(raw[kind.table])}, folder, f"{folder}/position").awaitTermination()
+        keep_hours(source, folder, f"{folder}/position").awaitTermination()
         return plain(kept_model(spark, folder, name))
 
     return query
 
 
-def joined_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+def kept_traffic_and_air(spark: SparkSession, sf_dir: str, correlate: bool = False) -> str:
     folder, tables = scratch_dir(spark, "joined"), stream_raws(spark, sf_dir)
     source = {kind.table: tables[kind.table] for kind in (TRAFFIC, AIR)}
-
-    def build(raw: dict[str, DataFrame]) -> DataFrame:
-        return models.traffic_pollution_hours(
-            models.traffic_hourly(raw[TRAFFIC.table]), models.air_quality_hourly(raw[AIR.table])
-        )
-
-    keep_models(source, {"joined": build}, folder, f"{folder}/position").awaitTermination()
-    return kept_model(spark, folder, "joined")
+    keep_hours(source, folder, f"{folder}/position", correlate=correlate).awaitTermination()
+    return folder
 
 
 def stream_joined_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(joined_hours(spark, sf_dir))
+    return plain(kept_joined_hours(spark, kept_traffic_and_air(spark, sf_dir)))
 
 
 def stream_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(models.correlate_hours(joined_hours(spark, sf_dir)))
+    return plain(kept_correlation(spark, kept_traffic_and_air(spark, sf_dir, correlate=True)))
 
 
 def stream_sensor_health(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,15 +335,16 @@ QUERIES: dict[str, Query] = {
     "table_time_range": table_time_range,
     "table_refreshed_days": table_refreshed_days,
     "table_compacted": table_compacted,
+    "sql_compacted_counts": sql_compacted_counts,
     "null_hours": null_hours,
     "quality_null_hours": quality_null_hours,
     "sql_sensor_health": sql_sensor_health,
     "view_threshold_breaches": view_threshold_breaches,
     "stream_ingest_counts": stream_ingest_counts,
     "stream_ingest_deduped": stream_ingest_deduped,
-    "stream_air_quality_hourly": hourly(AIR, "air_quality_hourly", models.air_quality_hourly),
-    "stream_traffic_hourly": hourly(TRAFFIC, "traffic_hourly", models.traffic_hourly),
-    "stream_energy_hourly": hourly(ENERGY, "energy_hourly", models.energy_hourly),
+    "stream_air_quality_hourly": hourly(AIR, "air_quality_hourly"),
+    "stream_traffic_hourly": hourly(TRAFFIC, "traffic_hourly"),
+    "stream_energy_hourly": hourly(ENERGY, "energy_hourly"),
     "stream_joined_hours": stream_joined_hours,
     "stream_correlation": stream_correlation,
     "stream_sensor_health": stream_sensor_health,

@@ -65,6 +65,7 @@ KINDS: dict[str, Kind] = {"air": AIR, "traffic": TRAFFIC, "energy": ENERGY}
 # Columns that tables on disk carry besides the reading itself.
 DAY = T.StructField("day", T.DateType(), True)
 BATCH = T.StructField("batch", T.StringType(), True)
+FOLD = T.StructField("fold", T.IntegerType(), True)
 
 
 def stored_schema(kind: Kind) -> T.StructType:

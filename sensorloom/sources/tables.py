@@ -8,9 +8,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import is_ntz, moment, shifted, utc_day
-from ..schemas import KINDS, Kind, stored_schema
+from ..schemas import BATCH, DAY, FOLD, KINDS, Kind, stored_schema
+from .folds import Fold, current_fold, fold_batches, folders, folds_path, named, read_batches, remove_folder
 
 
 def table_path(base: str, table: str) -> str:
@@ -18,42 +20,56 @@ def table_path(base: str, table: str) -> str:
 
 
 def create_raw_tables(spark: SparkSession, base: str) -> None:
-    """Declare the raw tables over ``base`` where they do not exist yet."""
+    """Declare the raw tables over ``base`` where they do not exist yet.
+
+    Each is a view over two tables, of batches and of what was folded of them; which rows
+    it takes from where is in the view alone, so ``compact`` changes both at once.
+    """
     for kind in KINDS.values():
-        # An empty append makes the folder of a table nothing was written to yet.
-        empty = spark.createDataFrame([], stored_schema(kind))
-        empty.write.mode("append").partitionBy("day", "batch").parquet(table_path(base, kind.table))
-        columns = ", ".join(
+        path = table_path(base, kind.table)
+        fields = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in kind.schema
         )
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {kind.table} ({columns}, day DATE, batch STRING) "
-            f"USING parquet PARTITIONED BY (day, batch) LOCATION '{table_path(base, kind.table)}'"
-        )
-        # Partitions written by a stream since the last call.
-        spark.sql(f"ALTER TABLE {kind.table} RECOVER PARTITIONS")
+        for table, at, own in ((_batches(kind), path, BATCH), (_folds(kind), folds_path(path), FOLD)):
+            # An empty append makes the folder of a table nothing was written to yet.
+            empty = spark.createDataFrame([], T.StructType([*kind.schema.fields, DAY, own]))
+            empty.write.mode("append").partitionBy("day", own.name).parquet(at)
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {table} ({fields}, day DATE, {own.name} {own.dataType.simpleString()}) "
+                f"USING parquet PARTITIONED BY (day, {own.name}) LOCATION '{at}'"
+            )
+            # Partitions written by a stream since the last call.
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        _declare(spark, kind, current_fold(spark, path))
 
 
-def _stored(df: DataFrame, kind: Kind, batch: str) -> DataFrame:
-    day = utc_day(F.col("timestamp"), is_ntz(df, "timestamp"))
-    return df.select(*kind.columns, day.alias("day"), F.lit(batch).alias("batch"))
+def _batches(kind: Kind) -> str:
+    return f"{kind.table}_batches"
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's view of a folder: its file system and its path."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+def _folds(kind: Kind) -> str:
+    return f"{kind.table}_folds"
 
 
-def folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders that match a pattern; a listing of names, no data is read."""
-    files, at = _files(spark, pattern)
-    return sorted(status.getPath().toString() for status in files.globStatus(at) or [] if status.isDirectory())
+def _declare(spark: SparkSession, kind: Kind, fold: Fold) -> None:
+    columns = ", ".join(f"`{c}`" for c in [*kind.columns, "day"])
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {kind.table} AS SELECT {columns}, batch FROM {_batches(kind)} WHERE NOT {fold.condition()} "
+        f"UNION ALL SELECT {columns}, CAST(NULL AS STRING) FROM {_folds(kind)} WHERE fold <= {fold.number}"
+    )
+
+
+def drop_raw_tables(spark: SparkSession) -> None:
+    """Take back ``create_raw_tables``; files stay."""
+    for kind in KINDS.values():
+        spark.sql(f"DROP VIEW IF EXISTS {kind.table}")
+        for table in (_batches(kind), _folds(kind)):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    files, at = _files(spark, path)
-    files.delete(at, True)
+def _stored(df: DataFrame, kind: Kind, batch: str) -> DataFrame:
+    day = utc_day(F.col("timestamp"), is_ntz(df, "timestamp"))
+    return df.select(*kind.columns, day.alias("day"), F.lit(batch).alias("batch"))
 
 
 def _days_in(df: DataFrame) -> set[str]:
@@ -61,10 +77,6 @@ def _days_in(df: DataFrame) -> set[str]:
     return {str(row.day) for row in df.select("day").where("day IS NOT NULL").distinct().toLocalIterator()}
 
 
-def _named(path: str, column: str) -> str:
-    return path.rpartition(f"{column}=")[2].partition("/")[0]
-
-
 def append_raw(
     df: DataFrame, base: str, kind: Kind, batch: str, rebalance: bool = False, corrected: bool = False
 ) -> None:
@@ -80,7 +92,7 @@ def append_raw(
     if corrected:
         spark, now = df.sparkSession, _days_in(rows)
         for path in folders(spark, f"{table_path(base, kind.table)}/day=*/batch={batch}"):
-            if _named(path, "day") not in now:
+            if named(path, "day") not in now:
                 remove_folder(spark, path)
     if rebalance:
         rows = rows.hint("rebalance", "day")
@@ -102,7 +114,7 @@ def append_declared(df: DataFrame, kind: Kind, batch: str) -> None:
     # insertInto takes the mode from the session alone.
     spark.conf.set(mode, "dynamic")
     try:
-        _stored(df, kind, batch).write.mode("overwrite").insertInto(kind.table)
+        _stored(df, kind, batch).write.mode("overwrite").insertInto(_batches(kind))
     finally:
         spark.conf.set(mode, before)
 
@@ -136,14 +148,36 @@ def read_raw(
     start: Column | datetime | None = None, end: Column | datetime | None = None,
 ) -> DataFrame:
     """A raw table, or its readings in ``[start, end)``, with its ``day`` column."""
-    stored = spark.read.schema(stored_schema(kind)).parquet(table_path(base, kind.table))
+    stored = read_batches(spark, table_path(base, kind.table), stored_schema(kind))
     return between(stored.drop("batch"), start, end)
 
 
 def save_table(df: DataFrame, name: str) -> DataFrame:
-    """Full refresh of a catalog table; returns the saved table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Full refresh of a catalog table; returns the saved table.
+
+    Rows are written beside the present ones, then the table's location is set to them:
+    who reads meanwhile sees all old rows or all new ones. The files replaced stay until
+    the next refresh. A table of other columns is replaced as a whole.
+    """
+    spark = df.sparkSession
+    wanted = [(f.name, f.dataType) for f in df.schema]
+    if not spark.catalog.tableExists(name) or [(f.name, f.dataType) for f in spark.table(name).schema] != wanted:
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        return spark.table(name)
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    present = about["Location"]
+    earlier = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == REPLACED).head()
+    beside = f"{present.partition('__')[0]}__{uuid.uuid4().hex}"
+    df.write.parquet(beside)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{beside}'")
+    if earlier:
+        remove_folder(spark, earlier.value)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{REPLACED}' = '{present}')")
+    return spark.table(name)
+
+
+#: Table property: the files that the last refresh replaced.
+REPLACED = "sensorloom.replaced"
 
 
 def save_view(df: DataFrame, name: str) -> DataFrame:
@@ -175,7 +209,7 @@ def refresh_days(
     left = _days_in(raw.filter(F.col("day") >= first))
     since = str(spark.range(1).select(first.alias("day")).head().day)
     for path in folders(spark, f"{table_path(base, name)}/day=*"):
-        day = _named(path, "day")
+        day = named(path, "day")
         if since <= day < "9" and day not in left:
             remove_folder(spark, path)
 
@@ -192,47 +226,37 @@ def write_days(hours: DataFrame, base: str, name: str) -> None:
     )
 
 
-#: Compaction works in folders that readers skip until it is done.
-MERGED, SOURCES = "_merged", "_sources"
+#: How compacted readings lie: a sensor's rows are together, and a reader skips files, row groups and pages of others.
+CLUSTERED = {"parquet.bloom.filter.enabled#sensor_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
 
-def compact(spark: SparkSession, base: str, kind: Kind, before: str) -> None:
-    """Fold the batches of each day older than ``before`` (yyyy-mm-dd) into one folder.
+def compact(spark: SparkSession, base: str, kind: Kind, before: str, declared: bool = False, **options: str) -> Fold:
+    """Fold the batches of all days before ``before`` (yyyy-mm-dd) into a few files per day, in one job.
 
-    The newest batch of a stream may be run again and is left as it is; so is a day
-    with one batch. New files are written to a folder readers do not see, with the
-    list of folders they replace; then those are removed and the new one is renamed.
-    A compaction that broke off is finished by the next one: what is complete is put
-    in place, what is not is written anew. Readers should not run meanwhile.
+    The newest batch of a stream may be run again and is left as it is; so are batches
+    that no stream wrote. Readers may run meanwhile: they see the same rows before and
+    after, see ``folds``. Rows are sorted by sensor and time. ``declared`` does the same
+    for the readers of the declared tables. ``options`` are Parquet's.
     """
+
+    def clustered(rows: DataFrame) -> DataFrame:
+        order = ["day", "sensor_id", "timestamp"]
+        return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def partitions(paths: list[str], column: str) -> str:
+        return ", ".join(f"PARTITION (day = '{named(p, 'day')}', {column} = '{named(p, column)}')" for p in paths)
+
+    def dropped(paths: list[str]) -> None:
+        spark.sql(f"ALTER TABLE {_batches(kind)} DROP IF EXISTS {partitions(paths, 'batch')}")
+
+    def visible(fold: Fold) -> None:
+        new = folders(spark, f"{folds_path(path)}/day=*/fold={fold.number}")
+        if new:
+            spark.sql(f"ALTER TABLE {_folds(kind)} ADD IF NOT EXISTS {partitions(new, 'fold').replace(', PARTITION', ' PARTITION')}")
+        _declare(spark, kind, fold)
+
     path = table_path(base, kind.table)
-    for hidden in folders(spark, f"{path}/day=*/{MERGED}-*"):
-        _put_in_place(spark, hidden)
-    newest: dict[str, tuple[int, str]] = {}
-    by_day: dict[str, list[str]] = {}
-    for folder in folders(spark, f"{path}/day=*/batch=*"):
-        by_day.setdefault(_named(folder, "day"), []).append(folder)
-        stream, _, number = _named(folder, "batch").rpartition("-")
-        if number.isdigit():
-            newest[stream] = max(newest.get(stream, (-1, "")), (int(number), _named(folder, "batch")))
-    replayable = {batch for _, batch in newest.values()}
-    for day, batches in by_day.items():
-        old = [f for f in batches if _named(f, "batch") not in replayable]
-        if day < before and len(old) > 1:
-            hidden = f"{path}/day={day}/{MERGED}-{uuid.uuid4().hex}"
-            names = spark.createDataFrame([(f,) for f in old], "folder string")
-            names.coalesce(1).write.parquet(f"{hidden}/{SOURCES}")
-            spark.read.schema(kind.schema).parquet(*old).hint("rebalance").write.mode("append").parquet(hidden)
-            _put_in_place(spark, hidden)
-
-
-def _put_in_place(spark: SparkSession, hidden: str) -> None:
-    files, at = _files(spark, hidden)
-    done = files.exists(_files(spark, f"{hidden}/_SUCCESS")[1])
-    if not done:
-        remove_folder(spark, hidden)
-        return
-    for row in spark.read.parquet(f"{hidden}/{SOURCES}").collect():
-        remove_folder(spark, row.folder)
-    remove_folder(spark, f"{hidden}/{SOURCES}")
-    files.rename(at, _files(spark, hidden.replace(f"/{MERGED}-", "/batch=compacted_"))[1])
+    return fold_batches(
+        spark, path, stored_schema(kind), before, visible=visible if declared else None,
+        dropped=dropped if declared else None, write=clustered, **(CLUSTERED | options),
+    )

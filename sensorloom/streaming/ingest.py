@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import utc_day
 from ..schemas import KINDS, Kind, stored_schema
-from ..sources.tables import append_declared, append_raw, folders, table_path
+from ..sources.folds import fold_batches, folders, read_batches
+from ..sources.tables import append_declared, append_raw, table_path
 from ..sources.topics import decode, readings, rejects
 
 QUARANTINE, COUNTS = "quarantine", "message_counts"
@@ -120,5 +121,26 @@ def rows_read(spark: SparkSession, base: str) -> int:
     """Messages read so far, good and bad, over all micro-batches that wrote under ``base``."""
     if not folders(spark, f"{table_path(base, COUNTS)}/batch=*"):
         return 0
-    counts = spark.read.schema("messages bigint, batch string").parquet(table_path(base, COUNTS))
-    return counts.agg(F.sum("messages")).head()[0] or 0
+    return _kept(spark, base, COUNTS).agg(F.sum("messages")).head()[0] or 0
+
+
+def _kept(spark: SparkSession, base: str, table: str) -> DataFrame:
+    path = table_path(base, table)
+    return read_batches(spark, path, spark.read.parquet(path).schema).drop("batch")
+
+
+def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """The messages that were no readings: ``topic, value, problem``."""
+    return _kept(spark, base, QUARANTINE)
+
+
+def compact_messages(spark: SparkSession, base: str) -> None:
+    """Fold the batches of the quarantine and of the message counts; readers may run meanwhile."""
+
+    def added_up(counts: DataFrame) -> DataFrame:
+        return counts.groupBy("topic", "problem").agg(F.sum("messages").alias("messages"))
+
+    for table, merge in ((QUARANTINE, None), (COUNTS, added_up)):
+        path = table_path(base, table)
+        if folders(spark, f"{path}/batch=*"):
+            fold_batches(spark, path, spark.read.parquet(path).schema, merge=merge)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import folders, remove_folder
+from ..sources.folds import folders, remove_folder
 
 BUCKETS = 64
 

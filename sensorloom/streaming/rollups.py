@@ -1,26 +1,22 @@
 """Hourly models, their join and activity runs on streams.
 
-``keep_models`` and ``keep_runs`` keep tables that at any time equal the batch result over
-all readings taken in so far, open hours and late readings included. The append streams
-emit each hour or run once, when the watermark has passed it.
+``keep_runs`` keeps a table that at any time equals the batch result over all readings
+taken in so far, open runs and late readings included; ``hours.keep_hours`` does so for
+the hourly models. The append streams emit each hour or run once, when the watermark has
+passed it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import round_numeric
-from ..functions.times import utc_day
 from ..operators.rollup import hourly_rollup
-from ..schemas import KINDS
-from ..sources.tables import append_raw, read_raw, table_path, write_days
 from .ingest import query_id, start
 from .kept import keep, kept_rows, last_done
 
@@ -85,51 +81,6 @@ def activity_sessions(raw: DataFrame, max_gap: str = "1 hour", delay: str = "1 h
     ).select("sensor_id", "readings", "first_seen", "last_seen")
 
 
-def keep_models(
-    raw: dict[str, DataFrame],
-    models: dict[str, Callable[[dict[str, DataFrame]], DataFrame]],
-    base: str,
-    checkpoint: str,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Keep hourly models of raw streams (by table name) under ``base``, complete after each micro-batch.
-
-    A micro-batch adds its readings to the raw tables and recomputes, from those, the
-    days it touched; a model gets the raw tables cut to these days. Run again, it
-    replaces both.
-    """
-    kinds = [kind for kind in KINDS.values() if kind.table in raw]
-    fields = {f.name: f.dataType for kind in kinds for f in kind.schema}
-    tagged = [
-        raw[kind.table].select(
-            F.lit(kind.table).alias("_table"),
-            *[(F.col(c) if c in kind.columns else F.lit(None).cast(t)).alias(c) for c, t in fields.items()],
-        )
-        for kind in kinds
-    ]
-
-    def each(batch: DataFrame, number: int) -> None:
-        spark, batch = batch.sparkSession, batch.persist()
-        name = f"{query_id(batch)}-{number}"
-        try:
-            days = [row.day for row in batch.select(utc_day(F.col("timestamp")).alias("day")).distinct().collect()]
-            for kind in kinds:
-                append_raw(batch.where(F.col("_table") == kind.table).select(*kind.columns), base, kind, name)
-        finally:
-            batch.unpersist()
-        if days:
-            touched = {k.table: read_raw(spark, base, k).where(F.col("day").isin(days)) for k in kinds}
-            for model, build in models.items():
-                write_days(build(touched), base, model)
-
-    return start(reduce(DataFrame.unionByName, tagged).writeStream.foreachBatch(each), checkpoint, every)
-
-
-def kept_model(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """An hourly model that ``keep_models`` keeps."""
-    return spark.read.parquet(table_path(base, name)).drop("day")
-
-
 RUNS = "sensor_id string, readings bigint, first_seen timestamp, last_seen timestamp"
 
 

@@ -7,11 +7,12 @@ import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
+from sensorloom.operators import partials
 from sensorloom.plans import models
 from sensorloom.schemas import AIR, ENERGY, KINDS, TRAFFIC
 from sensorloom.sources import topics
-from sensorloom.sources.tables import append_declared, create_raw_tables, read_raw
-from sensorloom.streaming import health, ingest, kept, rollups
+from sensorloom.sources.tables import append_declared, create_raw_tables, drop_raw_tables, read_raw
+from sensorloom.streaming import health, hours, ingest, kept, rollups
 
 T0 = "2024-01-01T00:00:00+00:00"
 
@@ -157,6 +158,13 @@ def test_ingest_routes_and_quarantines(spark, tmp_path):
         run(spark, tmp_path)
     assert ingest.rows_read(spark, str(tmp_path / "out")) == 13
     assert ingest.rows_read(spark, str(tmp_path / "nothing")) == 0
+    rejected = sorted(ingest.read_quarantine(spark, str(tmp_path / "out")).collect(), key=str)
+    for _ in range(3):
+        ingest.compact_messages(spark, str(tmp_path / "out"))
+        assert ingest.rows_read(spark, str(tmp_path / "out")) == 13
+        assert sorted(ingest.read_quarantine(spark, str(tmp_path / "out")).collect(), key=str) == rejected
+    # The newest batch, which may be run again, is left.
+    assert len(list((tmp_path / "out" / ingest.QUARANTINE).glob("batch=*"))) == 1
 
 
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
@@ -207,7 +215,7 @@ def test_ingest_through_declared_tables(spark, tmp_path):
         # Batches of one day stay side by side, and the catalog knows them all.
         assert spark.table("raw_air_quality").count() == count(spark, tmp_path, AIR) == 3
         assert spark.table("raw_traffic").count() == 1
-        days = [r.partition.split("/")[0] for r in spark.sql("SHOW PARTITIONS raw_air_quality").collect()]
+        days = [r.partition.split("/")[0] for r in spark.sql("SHOW PARTITIONS raw_air_quality_batches").collect()]
         assert sorted(days) == ["day=2024-01-01", "day=2024-01-01", "day=2024-01-02"]
         # A batch written again replaces itself alone.
         again = topics.readings(topics.decode(stream_rows(spark, [message(AIR), message(AIR)])), AIR)
@@ -216,8 +224,7 @@ def test_ingest_through_declared_tables(spark, tmp_path):
         assert spark.table("raw_air_quality").count() == 5
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     finally:
-        for kind in KINDS.values():
-            spark.sql(f"DROP TABLE IF EXISTS {kind.table}")
+        drop_raw_tables(spark)
 
 
 def test_fail_mode_stops_before_writing(spark, tmp_path):
@@ -405,23 +412,119 @@ def dozen_batches(spark, tmp_path, rows):
     return spark.readStream.schema(AIR.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
 
 
-def test_kept_models_equal_batch_results_late_and_open_hours_included(spark, tmp_path):
-    rows = [(f"2024-01-{1 + n * 7 % 5:02d} {n * 5 % 24:02d}:{n % 60:02d}:00", f"s{n % 3}", float(n)) for n in range(240)]
-    source = dozen_batches(spark, tmp_path, rows)
-    base = str(tmp_path / "out")
+def kept_air(spark, tmp_path, **how):
+    source = spark.readStream.schema(AIR.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = hours.keep_hours({AIR.table: source}, str(tmp_path / "out"), str(tmp_path / "cp"), **how)
+    query.awaitTermination()
+    batch = models.air_quality_hourly(spark.read.schema(AIR.schema).parquet(str(tmp_path / "in")))
+    assert sorted(hours.kept_model(spark, str(tmp_path / "out"), "air_quality_hourly").collect()) == sorted(batch.collect())
+    return query
 
-    def run(stream):
-        query = rollups.keep_models(
-            {AIR.table: stream}, {"hours": lambda raw: models.air_quality_hourly(raw[AIR.table])}, base, str(tmp_path / "cp")
-        )
-        query.awaitTermination()
-        batch = models.air_quality_hourly(spark.read.schema(AIR.schema).parquet(str(tmp_path / "in")))
-        assert sorted(rollups.kept_model(spark, base, "hours").collect()) == sorted(batch.collect())
-        return query
 
-    assert sum(p.numInputRows > 0 for p in run(source).recentProgress) >= 10
+@pytest.mark.parametrize("fold_every", [32, 5])
+def test_kept_models_equal_batch_results_late_and_open_hours_included(spark, tmp_path, fold_every):
+    rows = [(f"2024-01-{1 + n * 7 % 5:02d} {n * 5 % 24:02d}:{n % 60:02d}:00", f"s{n % 3}", n * 0.1) for n in range(240)]
+    dozen_batches(spark, tmp_path, rows)
+    assert sum(p.numInputRows > 0 for p in kept_air(spark, tmp_path, fold_every=fold_every).recentProgress) >= 10
     put_air(spark, tmp_path / "in", [("2024-01-02 03:30:00", "late", 7.0)])
-    run(source)
+    kept_air(spark, tmp_path, fold_every=fold_every)
+
+
+def test_kept_models_of_odd_numbers(spark, tmp_path):
+    """Numbers that no decimal holds, NaN and NULL come out as in the batch models."""
+    odd = [None, 1e-30, 1e25, float("nan"), float("inf"), 0.1, -3.0]
+    for n, level in enumerate(odd):
+        put_air(spark, tmp_path / "in", [(f"2024-01-01 {h:02d}:00:00", "s", odd[(n + h) % 7]) for h in range(3)] + [(f"2024-01-01 {9 + n}:00:00", "s", level)])
+    source = air_stream(spark, tmp_path / "in")
+    hours.keep_hours({AIR.table: source}, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    finite = F.col("pm25_level").isNull() | (F.abs("pm25_level") < 1e20)
+
+    def rows(df):
+        return sorted(df.where(F.hour("hour") >= 9).select("hour", "reading_count", "avg_pm25", "max_pm25").collect())
+
+    batch = models.air_quality_hourly(spark.read.schema(AIR.schema).parquet(str(tmp_path / "in")).where(finite | (F.hour("timestamp") >= 9)))
+    assert rows(hours.kept_model(spark, str(tmp_path / "out"), "air_quality_hourly")) == rows(batch)
+
+
+def spoil(folder):
+    """Make Parquet files below a folder unreadable."""
+    found = list(folder.rglob("*.parquet"))
+    for file in found:
+        file.write_bytes(b"spoiled")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    return len(found)
+
+
+def test_a_micro_batch_reads_nothing_that_earlier_ones_wrote(spark, tmp_path):
+    for day in (1, 2):
+        put_air(spark, tmp_path / "in", [(f"2024-01-0{day} {h:02d}:00:00", "s", 1.0) for h in range(24)])
+    kept_air(spark, tmp_path)
+    assert spoil(tmp_path / "out") >= 2
+    put_air(spark, tmp_path / "in", [("2024-01-02 03:30:00", "s", 7.0)])
+    source = air_stream(spark, tmp_path / "in")
+    hours.keep_hours({AIR.table: source}, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert len(list((tmp_path / "out").rglob("batch=*-2/*.parquet"))) == 1
+
+
+def both_kinds(spark, tmp_path):
+    """A stream of traffic and air, of files put under two folders."""
+    reader = spark.readStream.option("maxFilesPerTrigger", 1)
+    return {AIR.table: reader.schema(AIR.schema).parquet(str(tmp_path / "air")),
+            TRAFFIC.table: reader.schema(TRAFFIC.schema).parquet(str(tmp_path / "traffic"))}
+
+
+def put_traffic(spark, folder, rows):
+    df = spark.createDataFrame(rows, "ts string, zone_id string, vehicle_count int")
+    df.select(F.col("ts").cast("timestamp").alias("timestamp"), F.lit("s").alias("sensor_id"), "zone_id", "vehicle_count",
+              F.lit(30.0).alias("avg_speed_kmh")).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def test_kept_correlation_equals_the_batch_one_after_every_batch(spark, tmp_path):
+    base = str(tmp_path / "out")
+    for n in range(5):
+        # Hours come in parts, late, and of one kind first; some have no count, a zone is constant, one has one pair.
+        times = [(d, (h * 5 + n) % 24) for d in (1, 1 + n, 3) for h in range(4)]
+        put_air(spark, tmp_path / "air", [(f"2024-01-0{d} {h:02d}:{10 + n}:00", "s", float(h * (d + n) % 17)) for d, h in times])
+        put_traffic(spark, tmp_path / "traffic", [
+            (f"2024-01-0{d} {(h + 2 * n) % 24:02d}:0{n}:00", "z", None if h == 7 else h * n + d) for d, h in times])
+        query = hours.keep_hours(both_kinds(spark, tmp_path), base, str(tmp_path / "cp"), correlate=True, fold_every=3)
+        query.awaitTermination()
+        air = spark.read.schema(AIR.schema).parquet(str(tmp_path / "air"))
+        traffic = spark.read.schema(TRAFFIC.schema).parquet(str(tmp_path / "traffic"))
+        joined = models.traffic_pollution_hours(models.traffic_hourly(traffic), models.air_quality_hourly(air))
+        want = models.correlate_hours(joined)
+        assert sorted(hours.kept_joined_hours(spark, base).collect()) == sorted(joined.collect())
+        got = hours.kept_correlation(spark, base)
+        assert got.collect() == want.collect() and got.dtypes == want.dtypes and len(got.collect()) == 1
+
+
+def test_kept_correlation_of_constant_and_single_pairs(spark, tmp_path):
+    put_traffic(spark, tmp_path / "traffic", [(f"2024-01-01 0{h}:00:00", z, c) for h in range(4) for z, c in (("z", 5), ("one", h)) if z == "z" or h == 2])
+    put_air(spark, tmp_path / "air", [(f"2024-01-01 0{h}:30:00", "s", float(h)) for h in range(4)])
+    hours.keep_hours(both_kinds(spark, tmp_path), str(tmp_path / "out"), str(tmp_path / "cp"), correlate=True).awaitTermination()
+    got = hours.kept_correlation(spark, str(tmp_path / "out")).collect()
+    assert [(r.zone_id, r.hours_compared, r.traffic_pm25_correlation) for r in got] == [("z", 4, None)]
+
+
+def test_a_batch_of_the_correlation_run_again_counts_once_and_reads_its_days_alone(spark, tmp_path):
+    base = str(tmp_path / "out")
+    put_traffic(spark, tmp_path / "traffic", [(f"2024-01-0{d} 0{h}:00:00", "z", h * d) for d in (1, 2, 3) for h in range(5)])
+    put_air(spark, tmp_path / "air", [(f"2024-01-0{d} 0{h}:30:00", "s", float(h)) for d in (1, 2, 3) for h in range(5)])
+    hours.keep_hours(both_kinds(spark, tmp_path), base, str(tmp_path / "cp"), correlate=True).awaitTermination()
+    # The parts of days that a batch doesn't touch are not read.
+    for folder in (tmp_path / "out" / hours.HOURS).glob("table=*/day=2024-01-0[13]"):
+        spoil(folder)
+    late = spark.createDataFrame([("2024-01-02 03:40:00", 9.0)], "ts string, pm25_level double").select(
+        F.lit(AIR.table).alias("table"), F.col("ts").cast("timestamp").alias("timestamp"), F.lit("z").alias("zone_id"),
+        "pm25_level", *[F.lit(None).cast("double").alias(c) for c in ("co_level", "no2_level", "o3_level")])
+    before = hours.kept_correlation(spark, base).head()
+    for _ in range(2):
+        hours.write_parts(late, partials.part_columns([partials.AIR_PARTS]), base, "late-0")
+        hours.Pairs().write(spark, base, "late-0")
+        after = hours.kept_correlation(spark, base).head()
+        assert (after.hours_compared, after.avg_vehicles) == (15, before.avg_vehicles)
+        # The hour's mean goes from 3 to 6.
+        assert float(after.avg_pm25) == round((15 * 2 + 3) / 15, 2)
 
 
 def test_kept_runs_equal_batch_results(spark, tmp_path):

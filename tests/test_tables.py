@@ -11,7 +11,7 @@ from sensorloom.plans import models, panels
 from sensorloom.plans.refresh import refresh_models, refresh_tables
 from sensorloom.plans.suites import quality_models
 from sensorloom.schemas import AIR, KINDS
-from sensorloom.sources import tables
+from sensorloom.sources import folds, tables
 from sensorloom.entry_events import raw_from_events, read_events
 
 
@@ -71,8 +71,7 @@ def test_declared_tables(spark, air, tmp_path):
         types = {f.name: f.dataType.simpleString() for f in spark.table("raw_traffic").schema}
         assert types["vehicle_count"] == "int" and types["timestamp"] == "timestamp"
     finally:
-        for kind in KINDS.values():
-            spark.sql(f"DROP TABLE IF EXISTS {kind.table}")
+        tables.drop_raw_tables(spark)
 
 
 def test_sql_over_declared_tables_and_saved_models(spark, tmp_path):
@@ -99,8 +98,7 @@ def test_sql_over_declared_tables_and_saved_models(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.ansi.doubleQuotedIdentifiers")
         spark.sql("DROP DATABASE IF EXISTS analytics_test CASCADE")
-        for kind in KINDS.values():
-            spark.sql(f"DROP TABLE IF EXISTS {kind.table}")
+        tables.drop_raw_tables(spark)
 
 
 def test_saved_table_is_refreshed_in_full(spark):
@@ -175,21 +173,130 @@ def test_compaction_leaves_few_files_and_may_break_off(spark, air, tmp_path, mon
     for number in range(6):
         tables.append_raw(days(air, 1, 4, float(number)), base, AIR, f"q-{number}")
     want = sorted(tables.read_raw(spark, base, AIR).collect())
-    real = tables._put_in_place
+    real = folds._point
 
     def breaks(*_):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(tables, "_put_in_place", breaks)
+    monkeypatch.setattr(folds, "_point", breaks)
     with pytest.raises(RuntimeError):
         tables.compact(spark, base, AIR, "2024-01-04")
     # Nothing is lost or doubled by what was left behind.
     assert sorted(tables.read_raw(spark, base, AIR).collect()) == want
-    monkeypatch.setattr(tables, "_put_in_place", real)
+    monkeypatch.setattr(folds, "_point", real)
     for _ in range(2):
         tables.compact(spark, base, AIR, "2024-01-04")
         assert sorted(tables.read_raw(spark, base, AIR).collect()) == want
-    # One folder for the closed batches and the newest batch, which may be run again.
-    assert [len(glob.glob(f"{base}/raw_air_quality/day=2024-01-0{d}/batch=*")) for d in (1, 2, 3, 4)] == [2, 2, 2, 6]
+    # Of closed days the newest batch is left, which may be run again; the others are in one folder.
+    assert [len(glob.glob(f"{base}/raw_air_quality/day=2024-01-0{d}/batch=*")) for d in (1, 2, 3, 4)] == [1, 1, 1, 6]
+    assert [len(glob.glob(f"{base}/raw_air_quality_folds/day=2024-01-0{d}/fold=*")) for d in (1, 2, 3, 4)] == [1, 1, 1, 0]
     tables.append_raw(days(air, 1, 4, 5.0), base, AIR, "q-5")
     assert sorted(tables.read_raw(spark, base, AIR).collect()) == want
+
+
+def test_readings_that_come_after_a_compaction_count(spark, air, tmp_path):
+    """Late ones, ones of another stream, and batches that no stream wrote."""
+    base, level = str(tmp_path), 0.0
+
+    def add(batch, first, last):
+        nonlocal level
+        level += 1
+        tables.append_raw(days(air, first, last, level), base, AIR, batch)
+        return days(air, first, last, level)
+
+    sent = [add("q-0", 1, 3), add("q-1", 1, 5), add("p-0", 2, 2), add("load", 1, 2), add("q-9-0", 1, 1), add("q-9-1", 1, 1)]
+    for before, more in (("2024-01-03", ("q-2", 1, 4)), ("2024-01-03", ("p-1", 1, 1)), ("2024-01-05", ("q-3", 2, 6)), ("2024-01-09", None)):
+        old = tables.read_raw(spark, base, AIR)
+        tables.compact(spark, base, AIR, before)
+        want = sorted(r for df in sent for r in df.collect())
+        # A reader that listed the files before the compaction reads them still.
+        assert sorted(old.drop("day").collect()) == sorted(tables.read_raw(spark, base, AIR).drop("day").collect()) == want
+        if more:
+            sent.append(add(*more))
+    near = tables.read_raw(spark, base, AIR, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3))
+    assert near.count() == sum(df.where("day(timestamp) = 2").count() for df in sent)
+    assert "2024-01-0" in plan(near) and "PartitionFilters: [isnotnull(day" in plan(near)
+
+
+def test_compaction_under_declared_tables(spark, air, tmp_path):
+    """Readers through the catalog see the same rows before, while and after."""
+    base = str(tmp_path)
+    try:
+        tables.create_raw_tables(spark, base)
+        for number in range(4):
+            tables.append_declared(days(air, 1, 5, float(number)), AIR, f"q-{number}")
+        want = sorted(spark.table("raw_air_quality").drop("batch").collect())
+        assert len(want) == 40
+        for number in (4, 5):
+            started = spark.table("raw_air_quality").drop("batch")
+            tables.compact(spark, base, AIR, "2024-01-05", declared=True)
+            assert sorted(started.collect()) == sorted(spark.table("raw_air_quality").drop("batch").collect()) == want
+            assert sorted(tables.read_raw(spark, base, AIR).collect()) == want
+            tables.append_declared(days(air, 2, 2, float(number)), AIR, f"q-{number}")
+            want = sorted(spark.table("raw_air_quality").drop("batch").collect())
+            assert len(want) == 40 + 2 * (number - 3)
+        # Declared again, as by another session.
+        tables.drop_raw_tables(spark)
+        tables.create_raw_tables(spark, base)
+        assert sorted(spark.table("raw_air_quality").drop("batch").collect()) == want
+        pruned = spark.table("raw_air_quality").where("day = DATE '2024-01-02'")
+        assert pruned.count() == 12 and "day#" in plan(pruned)
+    finally:
+        tables.drop_raw_tables(spark)
+
+
+def test_compacted_readings_of_one_sensor_and_hour_are_a_small_share(spark, tmp_path):
+    """Readings are sorted by sensor and time, so row groups and pages of other sensors are skipped."""
+    base, sensors, rows = str(tmp_path), 50, 60_000
+    start = F.lit(1704067200)
+    readings = spark.range(rows, numPartitions=4).select(
+        F.timestamp_seconds(start + F.col("id") * 86400 / rows).alias("timestamp"),
+        F.concat(F.lit("s"), F.lpad((F.col("id") % sensors).cast("string"), 2, "0")).alias("sensor_id"), F.lit("z").alias("zone_id"),
+        *[F.rand(c).alias(name) for c, name in enumerate(AIR.metrics)],
+    )
+    for number in range(2):
+        tables.append_raw(readings.where(F.col("timestamp").isNotNull() & (F.pmod(F.xxhash64("timestamp"), F.lit(2)) == number)), base, AIR, f"q-{number}")
+    tables.append_raw(readings.limit(0), base, AIR, "q-2")
+    tables.append_raw(readings.limit(1), base, AIR, "q-2")
+
+    def read():
+        found = tables.read_raw(spark, base, AIR, dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 6)).where("sensor_id = 's07'")
+        got = sorted(found.collect())
+        scanned, stack = 0, [found._jdf.queryExecution().executedPlan()]
+        while stack:
+            node = stack.pop()
+            if "FileSourceScan" in node.getClass().getSimpleName():
+                scanned += node.metrics().get("numOutputRows").get().value()
+            if "AdaptiveSparkPlan" in node.getClass().getSimpleName():
+                stack.append(node.executedPlan())
+            children = node.children()
+            stack += [children.apply(i) for i in range(children.size())]
+        return got, scanned
+
+    want, before = read()
+    small = {"parquet.block.size": str(64 << 10), "parquet.page.row.count.limit": "200", "parquet.block.row.count.limit": "2000"}
+    tables.compact(spark, base, AIR, "2024-01-02", **small)
+    got, after = read()
+    assert got == want and len(got) == rows / sensors / 24
+    assert before > rows / 2 and after < rows / 20, (before, after)
+
+
+def test_a_refreshed_table_is_swapped_at_once(spark, monkeypatch):
+    try:
+        tables.save_table(spark.range(5).toDF("id"), "swapped_model")
+        for size in (3, 4, 6):
+            reader = spark.table("swapped_model")
+            count, real = reader.count(), spark.sql
+
+            def watched(text):
+                # Until the location is set readers see the old rows, written out in full.
+                assert spark.table("swapped_model").count() in (count, size)
+                return real(text)
+
+            monkeypatch.setattr(spark, "sql", watched)
+            assert tables.save_table(spark.range(size).toDF("id"), "swapped_model").count() == size
+            monkeypatch.undo()
+            assert reader.count() == count
+        assert tables.save_table(spark.range(2).toDF("other"), "swapped_model").columns == ["other"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS swapped_model")
