@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # A micro-batch writes what it changed, not whole snapshots.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     SESSION_MERGE: "true",
     # Group limits below rankings also for the newest n > 1000.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",

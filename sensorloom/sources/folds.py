@@ -28,10 +28,15 @@ def hadoop(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders that match a pattern; a listing of names, no data is read."""
+def folders_changed(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Folders that match a pattern and when they changed; a listing of names, no data is read."""
     files, at = hadoop(spark, pattern)
-    return sorted(status.getPath().toString() for status in files.globStatus(at) or [] if status.isDirectory())
+    found = [status for status in files.globStatus(at) or [] if status.isDirectory()]
+    return sorted((status.getPath().toString(), status.getModificationTime()) for status in found)
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    return [path for path, _ in folders_changed(spark, pattern)]
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -118,21 +123,26 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return rows.where(f"NOT {fold.condition()}").unionByName(folded)
 
 
-def read_days(spark: SparkSession, path: str, schema: T.StructType, days: list[str]) -> DataFrame:
-    """``read_batches`` of some days (yyyy-mm-dd): no other day's folders are listed or read."""
-    fold = current_fold(spark, path)
-    rows = spark.createDataFrame([], schema)
+def read_days(
+    spark: SparkSession, path: str, schema: T.StructType, days: list[str], needed: Callable[[str, int], bool] | None = None
+) -> DataFrame | None:
+    """``read_batches`` of some days (yyyy-mm-dd): no other day's folders are listed or read; None without any.
+
+    ``needed`` may leave out folders of batches, by path and time of change (milliseconds).
+    """
+    fold, rows = current_fold(spark, path), None
     for root, column in ((path, "batch"), (folds_path(path), "fold")):
-        found = [f for day in days for f in folders(spark, f"{root}/day={day}/{column}=*")]
+        found = [f for day in days for f in folders_changed(spark, f"{root}/day={day}/{column}=*")]
         if column == "batch":
-            kept = [f for f in found if not fold.holds(named(f, "batch"), named(f, "day"))]
+            kept = [f for f, at in found if not fold.holds(named(f, "batch"), named(f, "day")) and (not needed or needed(f, at))]
         else:
-            kept = [f for f in found if int(named(f, "fold")) <= fold.number]
+            kept = [f for f, _ in found if int(named(f, "fold")) <= fold.number]
         if kept:
             inner = T.StructType([*[f for f in schema if f.name != "batch"], T.StructField(column, T.StringType())])
             own = spark.read.schema(inner).option("basePath", root).parquet(*kept)
             own = own if column == "batch" else own.withColumn("batch", F.lit(None).cast("string"))
-            rows = rows.unionByName(own.select(schema.fieldNames()))
+            own = own.select(schema.fieldNames())
+            rows = own if rows is None else rows.unionByName(own)
     return rows
 
 

@@ -145,11 +145,10 @@ class Pairs:
         if not days:
             return
         own = F.expr(f"coalesce(batch = '{batch}', false)").alias("own")
+        found = [(parts, columns, read_days(spark, _path(base, parts), _stored(parts), days)) for parts, columns in self.kinds]
         near = reduce(DataFrame.unionByName, [
-            read_days(spark, _path(base, parts), _stored(parts), days).where("hour IS NOT NULL").select(
-                F.lit(parts.kind.table).alias("table"), "zone_id", "hour", own, *columns
-            )
-            for parts, columns in self.kinds
+            rows.where("hour IS NOT NULL").select(F.lit(parts.kind.table).alias("table"), "zone_id", "hour", own, *columns)
+            for parts, columns, rows in found if rows is not None
         ])
         changed = near.groupBy("zone_id", "hour").agg(*self.hours).where("touched")
         moments = changed.select("zone_id", self.change).select("zone_id", "change.*").groupBy("zone_id").agg(*self.sums)

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import utc_day
 from ..schemas import KINDS, Kind, stored_schema
-from ..sources.folds import fold_batches, folders, read_batches
+from ..sources.folds import fold_batches, folders, named, read_batches, read_days
 from ..sources.tables import append_declared, append_raw, table_path
 from ..sources.topics import decode, readings, rejects
 
 QUARANTINE, COUNTS = "quarantine", "message_counts"
 KEY = ["sensor_id", "timestamp"]
+CONFLICT = "conflicting_values"  # a reading of a sensor and time that came before with other values
 QUERY_ID = "sql.streaming.queryId"
 
 
@@ -40,81 +46,166 @@ def query_id(batch: DataFrame) -> str:
     return found
 
 
-def without_repeats(readings: DataFrame, base: str, kind: Kind, batch: str) -> DataFrame:
-    """Readings whose sensor and time are new: one of each, and none that other batches stored.
+def with_first_arrivals(decoded: DataFrame, within: str) -> DataFrame:
+    """A stream of decoded messages, and with column ``_what`` what its state knows of them.
+
+    ``all`` has every message; ``key`` those whose sensor and time are new, ``reading`` those
+    that are new with their values. Spark's state of seen keys covers what arrived in the
+    last ``within`` of arrival time, so a reading may be as old as it likes. Messages are
+    decoded and shuffled once for all three.
+    """
+    bad = F.when(F.col("problem").isNotNull(), F.xxhash64("value"))
+    came = decoded.withColumns({"_at": F.current_timestamp(), "_bad": bad}).withWatermark("_at", within)
+    key = ["topic", *KEY, "_bad"]
+    spread = came.repartition(*key)
+    rest = [c for c in decoded.columns if c not in ("topic", "value", "problem", *KEY)]
+    seen = {"all": spread, "key": spread.dropDuplicatesWithinWatermark(key), "reading": spread.dropDuplicatesWithinWatermark(key + rest)}
+    tagged = [rows.withColumn("_what", F.lit(what)).select("_what", *decoded.columns) for what, rows in seen.items()]
+    return reduce(DataFrame.unionByName, tagged)
+
+
+def _all_new(decoded: DataFrame) -> DataFrame:
+    """A batch of its own as ``with_first_arrivals`` gives it: nothing was seen before."""
+    tagged = [decoded.withColumn("_what", F.lit(what)) for what in ("all", "key", "reading")]
+    return reduce(DataFrame.unionByName, tagged)
+
+
+def one_per_key(seen: DataFrame) -> DataFrame:
+    """All messages, and of new readings one per sensor and time; others of it have the problem CONFLICT.
 
-    Compared with the key columns of the days the readings fall on, so a reading may
-    come again after any time and a late one is never lost. A batch run again ignores
-    what it stored itself.
+    The accepted one is the least by value, if none came in an earlier micro-batch: the
+    same whenever a batch is run again.
     """
+    good = seen.where("_what <> 'all' AND problem IS NULL")
+    key = ["topic", *KEY]
+    rest = [c for c in seen.columns if c not in ("_what", "value", "problem", *key)]
+    known = F.max(F.col("_what") == "key").over(W.partitionBy(*key))
+    # Of equal readings in one batch the state lets one pass; a batch without state has them all.
+    by_values = W.partitionBy(*key, "_what").orderBy(*rest)
+    ranked = good.withColumns({
+        "_new": known, "_values": F.dense_rank().over(by_values), "_order": F.row_number().over(by_values),
+    })
+    once = F.lag("_values", 1, 0).over(W.partitionBy(*key, "_what").orderBy("_order")) != F.col("_values")
+    ranked = ranked.withColumn("_once", once).where("_what = 'reading' AND _once")
+    problem = F.when(~(F.col("_new") & (F.col("_values") == 1)), F.lit(CONFLICT))
+    return seen.where("_what = 'all'").unionByName(ranked.withColumn("problem", problem).select(seen.columns))
+
+
+def against_stored(
+    rows: DataFrame, base: str, kind: Kind, batch: str, days: list[str], since: float | None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Readings of some days that no batch outside the stream's state has stored, and those it has with other values.
+
+    ``since``: what this stream wrote from then on (milliseconds of the epoch) is in its
+    state. If the days of the readings have no other batches, nothing is read.
+    """
+    spark, path = rows.sparkSession, table_path(base, kind.table)
+    stream = batch.rpartition("-")[0]
+
+    def needed(folder: str, changed: int) -> bool:
+        name = named(folder, "batch")
+        in_state = name.rpartition("-")[0] == stream and since is not None and changed >= since
+        return name != batch and not in_state
+
+    stored = read_days(spark, path, stored_schema(kind), days, needed)
+    if stored is None:
+        return rows, None
     rest = [c for c in kind.columns if c not in KEY]
-    once = readings.groupBy(*KEY).agg(F.min(F.struct(*rest)).alias("_rest")).select(*KEY, "_rest.*")
-    once = once.select(*kind.columns).withColumn("day", utc_day(F.col("timestamp")))
-    days = [row.day for row in once.select("day").distinct().toLocalIterator()]
-    path, spark = table_path(base, kind.table), readings.sparkSession
-    if not days or not folders(spark, f"{path}/day=*"):
-        return once.drop("day")
-    stored = spark.read.schema(stored_schema(kind)).parquet(path)
-    stored = stored.where(F.col("day").isin(days) & (F.col("batch") != batch)).select("day", *KEY)
-    return once.join(stored, ["day", *KEY], "left_anti").select(*kind.columns)
+    stored = stored.select(*KEY, *[F.col(c).alias(f"_{c}") for c in rest])
+    known = stored.groupBy(*KEY).agg(F.collect_set(F.struct(*[f"_{c}" for c in rest])).alias("_stored"))
+    found = rows.join(known, KEY, "left")
+    same = F.exists("_stored", lambda s: reduce(Column.__and__, [F.col(c).eqNullSafe(s[f"_{c}"]) for c in rest]))
+    other = found.where(F.col("_stored").isNotNull() & ~same).drop("_stored")
+    return found.where(F.col("_stored").isNull()).drop("_stored"), other
 
 
 def write_batch(
     decoded: DataFrame, base: str, batch: str, on_bad: str = "quarantine", declared: bool = False,
-    dedupe: bool = False,
+    dedupe: bool = False, since: float | None = None,
 ) -> None:
     """Route one micro-batch to the three raw tables and the quarantine, and count its messages.
 
     Each target keeps the rows in partitions named after the batch, so a batch run
     again after a failure replaces what it wrote before. Without ``dedupe`` there is
-    no shuffle: tasks write what they read.
+    no shuffle: tasks write what they read. With it, a decoded batch may come from
+    ``with_first_arrivals``; ``since`` is when its state begins.
     """
+    if dedupe:
+        decoded = one_per_key(decoded if "_what" in decoded.columns else _all_new(decoded))
     decoded = decoded.persist()
     try:
-        bad = rejects(decoded)
+        every = decoded.where("_what = 'all'").drop("_what") if dedupe else decoded
+        new = decoded.where("_what = 'reading'").drop("_what") if dedupe else decoded
+        bad = rejects(every)
         if on_bad == "fail":
             first = bad.head()
             if first is not None:
                 raise BadMessage(f"{first.problem} on {first.topic}: {first.value}")
+        good = {kind.table: readings(new, kind) for kind in KINDS.values()}
+        if dedupe:
+            bad = bad.unionByName(rejects(new))
+            day = utc_day(F.col("timestamp")).alias("day")
+            days = new.where("problem IS NULL").select("topic", day).distinct().collect()
+            for kind in KINDS.values():
+                own = new.where((F.col("topic") == kind.topic) & F.col("problem").isNull())
+                touched = [str(r.day) for r in days if r.topic == kind.topic]
+                fresh, other = against_stored(own, base, kind, batch, touched, since)
+                good[kind.table] = fresh.select(*kind.columns)
+                if other is not None:
+                    bad = bad.unionByName(other.select("topic", "value", F.lit(CONFLICT).alias("problem")))
+        counts = every.groupBy("topic", "problem").agg(F.count("*").alias("messages")).coalesce(1)
+        writes = [partial(_write_batch_of, counts, base, COUNTS, batch), partial(_write_batch_of, bad, base, QUARANTINE, batch)]
         for kind in KINDS.values():
-            good = readings(decoded, kind)
-            if dedupe:
-                good = without_repeats(good, base, kind, batch)
-            if declared:
-                append_declared(good, kind, batch)
+            if declared:  # goes through a setting of the session
+                append_declared(good[kind.table], kind, batch)
             else:
-                append_raw(good, base, kind, batch)
-        counts = decoded.groupBy("topic", "problem").agg(F.count("*").alias("messages"))
-        for rows, table in ((bad, QUARANTINE), (counts.coalesce(1), COUNTS)):
-            (
-                rows.withColumn("batch", F.lit(batch))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch")
-                .parquet(table_path(base, table))
-            )
+                writes.append(partial(append_raw, good[kind.table], base, kind, batch))
+        # The first write decodes; the others find it done and are short.
+        writes[0]()
+        with ThreadPoolExecutor(len(writes)) as pool:
+            for written in [pool.submit(inheritable_thread_target(decoded.sparkSession)(write)) for write in writes[1:]]:
+                written.result()
     finally:
         decoded.unpersist()
 
 
+def _write_batch_of(rows: DataFrame, base: str, table: str, batch: str) -> None:
+    (
+        rows.withColumn("batch", F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(table_path(base, table))
+    )
+
+
 def ingest(
     messages: DataFrame, base: str, checkpoint: str, every: str | None = None,
-    on_bad: str = "quarantine", dedupe: bool = False, declared: bool = False,
+    on_bad: str = "quarantine", dedupe: bool = False, declared: bool = False, within: str = "1 day",
 ) -> StreamingQuery:
     """Run the ingest: a stream of ``topic, value`` into raw tables under ``base``.
 
     The checkpoint keeps the position in the topics. ``on_bad="fail"`` stops at the
     first micro-batch with a bad message instead of putting it in quarantine.
-    ``dedupe`` stores a reading once however often it is sent, see ``without_repeats``.
+    ``dedupe`` stores a reading (sensor, time) once however often it is sent; one with
+    other values than the first goes to quarantine. What arrived in the last ``within`` is
+    known from the stream's state; for older batches, and those of other streams, the days
+    that a micro-batch falls on are compared with what is stored.
     ``declared`` writes through the tables ``create_raw_tables`` declared over ``base``.
     """
     if on_bad not in ("quarantine", "fail"):
         raise ValueError(f"on_bad: {on_bad}")
+    decoded = decode(messages)
 
     def each(batch: DataFrame, number: int) -> None:
-        write_batch(batch, base, f"{query_id(batch)}-{number}", on_bad, declared, dedupe)
-
-    return start(decode(messages).writeStream.foreachBatch(each), checkpoint, every)
+        since = None
+        if dedupe:
+            horizon = F.expr(f"unix_millis(current_timestamp() - INTERVAL {within})")
+            since = batch.sparkSession.range(1).select(horizon).head()[0]
+        write_batch(batch, base, f"{query_id(batch)}-{number}", on_bad, declared, dedupe, since)
+
+    stream = with_first_arrivals(decoded, within) if dedupe else decoded
+    return start(stream.writeStream.foreachBatch(each), checkpoint, every)
 
 
 def rows_read(spark: SparkSession, base: str) -> int:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
@@ -268,6 +269,64 @@ def test_a_deduped_batch_run_again_keeps_its_readings(spark, tmp_path):
     assert ingest.rows_read(spark, str(tmp_path / "out")) == 3
 
 
+def spoil(folder):
+    """Make Parquet files below a folder unreadable."""
+    found = list(folder.rglob("*.parquet"))
+    for file in found:
+        file.write_bytes(b"spoiled")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    return len(found)
+
+
+def test_readings_of_one_sensor_and_time_with_other_values_go_to_quarantine(spark, tmp_path):
+    def conflicts():
+        found = ingest.read_quarantine(spark, str(tmp_path / "out")).where(F.col("problem") == ingest.CONFLICT)
+        return sorted(json.loads(r.value)["pm25_level"] for r in found.collect())
+
+    def levels():
+        return sorted(r.pm25_level for r in read_raw(spark, str(tmp_path / "out"), AIR).collect())
+
+    # Within a micro-batch the least is taken; equal ones are repeats, also where the text differs.
+    put(spark, tmp_path / "in", [message(AIR, pm25_level=x) for x in (5, 4, 4.0, "4")] + [message(AIR, sensor_id="s2")])
+    run(spark, tmp_path, dedupe=True)
+    assert (levels(), conflicts()) == ([1, 4], [5])
+    # In a later one the stored reading stays, and each other value is recorded once while the state knows it.
+    put(spark, tmp_path / "in", [message(AIR, pm25_level=x) for x in (4, 5, 3, 3, 2)] + [message(AIR, pm25_level=None)])
+    run(spark, tmp_path, dedupe=True)
+    assert [r for r in levels()] == [1, 4]
+    bad = ingest.read_quarantine(spark, str(tmp_path / "out")).where(F.col("problem") == ingest.CONFLICT).collect()
+    assert sorted(str(json.loads(r.value)["pm25_level"]) for r in bad) == ["2", "3", "5", "None"]
+    # Another stream knows nothing and compares with what is stored.
+    other = ingest.ingest(stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp2"), dedupe=True)
+    other.awaitTermination()
+    assert levels() == [1, 4]
+    assert ingest.rows_read(spark, str(tmp_path / "out")) == 2 * 11
+
+
+def test_what_the_state_covers_is_not_read_again(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR), message(AIR, sensor_id="s2"), message(TRAFFIC)])
+    run(spark, tmp_path, dedupe=True)
+    assert spoil(tmp_path / "out" / AIR.table) >= 1
+    put(spark, tmp_path / "in", [message(AIR), message(AIR, sensor_id="s3"), message(AIR, pm25_level=9)])
+    run(spark, tmp_path, dedupe=True)
+    found = [f for f in (tmp_path / "out" / AIR.table).rglob("*.parquet") if f.read_bytes() != b"spoiled"]
+    assert [spark.read.parquet(str(f)).head().sensor_id for f in found] == ["s3"]
+
+
+def test_what_the_state_has_forgotten_is_read(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR), message(AIR, sensor_id="s2")])
+    run(spark, tmp_path, dedupe=True, within="2 seconds")
+    put(spark, tmp_path / "in", [message(AIR, sensor_id="s3")])
+    time.sleep(3)
+    run(spark, tmp_path, dedupe=True, within="2 seconds")
+    time.sleep(3)
+    put(spark, tmp_path / "in", [message(AIR), message(AIR, sensor_id="s3"), message(AIR, sensor_id="s2", pm25_level=8)])
+    run(spark, tmp_path, dedupe=True, within="2 seconds")
+    assert count(spark, tmp_path, AIR) == 3
+    bad = ingest.read_quarantine(spark, str(tmp_path / "out")).collect()
+    assert [r.problem for r in bad] == [ingest.CONFLICT]
+
+
 def put_air(spark, folder, rows):
     df = spark.createDataFrame(rows, "ts string, sensor_id string, pm25_level double")
     level = F.col("pm25_level")
@@ -446,15 +505,6 @@ def test_kept_models_of_odd_numbers(spark, tmp_path):
     assert rows(hours.kept_model(spark, str(tmp_path / "out"), "air_quality_hourly")) == rows(batch)
 
 
-def spoil(folder):
-    """Make Parquet files below a folder unreadable."""
-    found = list(folder.rglob("*.parquet"))
-    for file in found:
-        file.write_bytes(b"spoiled")
-        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
-    return len(found)
-
-
 def test_a_micro_batch_reads_nothing_that_earlier_ones_wrote(spark, tmp_path):
     for day in (1, 2):
         put_air(spark, tmp_path / "in", [(f"2024-01-0{day} {h:02d}:00:00", "s", 1.0) for h in range(24)])
