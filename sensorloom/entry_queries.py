@@ -271,7 +271,8 @@ def stream_ingest_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = [m.withColumn("value", F.coalesce(nested, F.col("value"))) for m in good]
     base = f"{folder}/tables"
     every = reduce(DataFrame.unionByName, good + bad_messages(events))
-    ingest(every, base, f"{folder}/position", dedupe=True).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    ingest(every, base, f"{folder}/position", dedupe=True, state_partitions=cores).awaitTermination()
     read = spark.range(1).select(F.lit("messages").alias("table_name"), F.lit("").alias("problem"),
                                  F.lit(rows_read(spark, base)).cast("long").alias("row_count"))
     return reduce(DataFrame.unionByName, [*stored_counts(spark, base), read])

@@ -182,6 +182,7 @@ def _write_batch_of(rows: DataFrame, base: str, table: str, batch: str) -> None:
 def ingest(
     messages: DataFrame, base: str, checkpoint: str, every: str | None = None,
     on_bad: str = "quarantine", dedupe: bool = False, declared: bool = False, within: str = "1 day",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Run the ingest: a stream of ``topic, value`` into raw tables under ``base``.
 
@@ -190,7 +191,9 @@ def ingest(
     ``dedupe`` stores a reading (sensor, time) once however often it is sent; one with
     other values than the first goes to quarantine. What arrived in the last ``within`` is
     known from the stream's state; for older batches, and those of other streams, the days
-    that a micro-batch falls on are compared with what is stored.
+    that a micro-batch falls on are compared with what is stored. The state is kept in
+    ``state_partitions`` (by default ``spark.sql.shuffle.partitions``), which a checkpoint
+    keeps for good: each costs every micro-batch two commits, however little it brings.
     ``declared`` writes through the tables ``create_raw_tables`` declared over ``base``.
     """
     if on_bad not in ("quarantine", "fail"):
@@ -205,7 +208,16 @@ def ingest(
         write_batch(batch, base, f"{query_id(batch)}-{number}", on_bad, declared, dedupe, since)
 
     stream = with_first_arrivals(decoded, within) if dedupe else decoded
-    return start(stream.writeStream.foreachBatch(each), checkpoint, every)
+    if not (dedupe and state_partitions):
+        return start(stream.writeStream.foreachBatch(each), checkpoint, every)
+    conf, setting = messages.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(setting)
+    # A query takes the settings of its session as they are when it starts.
+    conf.set(setting, str(state_partitions))
+    try:
+        return start(stream.writeStream.foreachBatch(each), checkpoint, every)
+    finally:
+        conf.set(setting, before)
 
 
 def rows_read(spark: SparkSession, base: str) -> int:
