@@ -124,10 +124,11 @@ def token_counts(docs: DataFrame, counter: Counter, limit: int = 1024) -> DataFr
     them are single tokens. A null or empty text has no bytes and no tokens. Rows with
     equal or null ids are counted one by one; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(counter)  # as large as the vocabulary
+    # As large as the vocabulary; plain lists, which executors load without this package.
+    shared = docs.sparkSession.sparkContext.broadcast(counter.parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = shared.value.count
+        count = Counter(*shared.value).count
         for batch in batches:
             found = [count(text) if text else 0 for text in map(pa.StringScalar.as_py, batch.column(1))]
             yield pa.RecordBatch.from_arrays(
