@@ -305,6 +305,47 @@ def test_passages_twice_in_the_smallest_unit(spark):
     check_passages(passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
 
 
+def test_passages_shared_with_different_documents(spark):
+    """A document that shares other passages with each of five others, overlapping ones too, has a row for each."""
+    rng = random.Random(12)
+    own = [prose(rng, 80) for _ in range(5)]
+    rows = [(0, " ".join(own))] + [(k + 1, " ".join([prose(rng, 20), part, prose(rng, 30)])) for k, part in enumerate(own)]
+    rows += [(10, " ".join(" ".join(own).split()[40:120]) + " " + prose(rng, 20))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    links = {(r.doc_id, r.other_id): (r.start_word, r.n_words) for r in got}
+    for k in range(5):
+        assert links[0, k + 1] == (80 * k, 80) and links[k + 1, 0] == (20, 80)
+    assert links[10, 0] == (0, 80)
+    assert len(links) == len(got)
+
+
+def test_windows_that_intersect():
+    rng = random.Random(4)
+    hits = 0
+    for _ in range(600):
+        rows = []
+        for _ in range(rng.randint(1, 9)):
+            row = [rng.randrange(3)]
+            for _ in range(2):
+                first = rng.randrange(30)
+                end = first + rng.randint(10, 25)
+                row += [first, rng.randrange(first, end), end]
+            rows.append(row)
+        want = any(
+            x[0] != y[0]
+            and all(
+                any(s <= min(x[c], y[c]) and max(x[c], y[c]) < s + size for size in range(10, 30)
+                    for s in range(max(x[c - 1], y[c - 1]), min(x[c + 1], y[c + 1]) - size + 1))
+                for c in (2, 5)
+            )
+            for x in rows for y in rows
+        )
+        hits += want
+        assert passages.intersect(np.array(rows, np.int32), 10, 2) == want
+    assert 100 < hits < 500
+    assert passages.merged([(8, 9), (0, 3), (3, 5), (1, 2)]) == [(0, 5), (8, 9)]
+
+
 def test_passages_of_awkward_rows(awkward, none, awkward_rows):
     got = passages.repeated_passages(awkward).collect()
     rows = [r[:2] for r in awkward_rows if r[0] is not None]
