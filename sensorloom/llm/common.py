@@ -22,6 +22,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df hasn't."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """df as a written table with a key per row, which tells apart rows that share everything else; the key's name."""
+    name = fresh(df, "_row")
+    return written(df.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
 def n_words(text: Column) -> Column:
     """Words of a text: runs of anything but space and 0x09-0x0D. Null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

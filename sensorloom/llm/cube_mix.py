@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import few_or_shuffled, n_words, written
+from sensorloom.llm.common import few_or_shuffled, fresh, n_words, numbered, written
 
 #: Rows of a source that one task flies over, about.
 GROUP_ROWS = 8192
@@ -141,14 +141,12 @@ def mix(docs: DataFrame, total: float = 1.5, repeats: float = 2.0, keep: tuple[s
 
 
 def mixed(docs: DataFrame, total: float = 1.5, repeats: float = 2.0) -> DataFrame:
-    """docs as the mix takes them: each row as often as it is taken.
-
-    Rows that share an id, null too, are all taken equally often: the rounded mean.
-    """
-    taken = mix(docs, total, repeats).groupBy("doc_id").agg(F.round(F.avg("times")).cast("int").alias("times"))
-    taken = written(taken.where("times > 0").select(F.col("doc_id").alias("id"), "times"), "mix-taken")
-    rows = docs.alias("d").join(few_or_shuffled(taken).alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.id")))
-    return rows.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("t.times")))).select("d.*")
+    """docs as the mix takes them: each row as often as its own draw says, whatever its id."""
+    rows, key = numbered(docs, "mix-rows")
+    turns = F.sequence(F.lit(1), F.col("times")).alias(fresh(rows, "_turns"))
+    taken = mix(rows.select("doc_id", "source", "text", key), total, repeats, keep=(key,)).where("times > 0").select(key, turns)
+    whole = rows.join(few_or_shuffled(written(taken, "mix-taken")), key)
+    return whole.select(*docs.columns, F.explode(whole.columns[-1]).alias(fresh(whole, "_turn"))).select(docs.columns)
 
 
 def _flight(active: DataFrame, groups: int, turn: int, schema) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import few_or_shuffled, written
+from sensorloom.llm.common import few_or_shuffled, numbered, written
 
 BITS = 5
 SLICES = 4096
@@ -67,20 +67,21 @@ def _size_code(size: Column) -> Column:
     return (bits * 16 + F.call_function("shiftright", size, bits - 4).cast("int")).cast("int")
 
 
-def placed(docs: DataFrame, shards: int = 40) -> DataFrame:
+def placed(docs: DataFrame, shards: int = 40, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, text_crc32, the three steps, the curve's cell, shard and slot of every row.
 
     Shard sizes in rows are at most one apart (law `rows`); slots count from 0 along the
     curve. size: UTF-8 bytes of the text plus 16; a null text has none and the checksum of
     no bytes, 0. Null sources, languages and ids come first in their order. Equal rows
-    are all placed; which of them comes first makes no difference. Other columns are ignored.
+    are all placed; which of them comes first makes no difference. Columns named in `keep`
+    come along, others are ignored.
     """
     text = F.col("text").cast("string")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long")
     slim = docs.select(
         F.col("doc_id").cast("long"), size.alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        *(F.col(c).cast("string").alias(f"{c}_code") for c in ("source", "lang")),
+        *(F.col(c).cast("string").alias(f"{c}_code") for c in ("source", "lang")), *keep,
     )
     slim = written(slim.withColumn("size_code", _size_code(F.col("size"))), "shard-rows")
 
@@ -118,15 +119,17 @@ def placed(docs: DataFrame, shards: int = 40) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
         F.expr(f"place - (CAST(shard AS bigint) * `all` + {shards - 1}) DIV {shards}").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
-        "source_step", "lang_step", "size_step", "curve",
+        "source_step", "lang_step", "size_step", "curve", *keep,
     )
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40) -> None:
     """docs as Parquet, a folder per shard with its rows in curve order, so readers prune by source, language or size.
 
-    docs must have one row per doc_id.
+    Every row is written once, rows without an id and repeated ones too. Columns of docs named
+    shard or slot are replaced.
     """
-    order = placed(docs, shards).select("doc_id", "shard", "slot")
-    whole = docs.join(order, "doc_id").repartitionByRange(shards * 4, "shard", "slot")
+    rows, key = numbered(docs.drop("shard", "slot"), "shard-texts")
+    order = placed(rows.select("doc_id", "source", "lang", "text", key), shards, keep=(key,)).select(key, "shard", "slot")
+    whole = rows.join(order, key).drop(key).repartitionByRange(shards * 4, "shard", "slot")
     whole.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -9,17 +9,17 @@ _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # All alignments of a document and an item on which enough words are equal, not only those with a common seed.
 _OP5 = r"""
 WITH docs AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws
-              FROM documents),
+              FROM (SELECT doc_id, regexp_replace(text, '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g') AS text FROM documents)),
  items AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws
-           FROM benchmark),
+           FROM (SELECT item_id, regexp_replace(text, '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g') AS text FROM benchmark)),
  d AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM docs),
- t AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM items WHERE len(ws) >= 8),
+ t AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM items),
  m AS (SELECT doc_id, item_id, n, i - k AS place, list_sort(list(k)) AS ks
-       FROM d JOIN t USING (w) GROUP BY ALL HAVING 100 * count(*) >= 80 * least(13, n)),
+       FROM d JOIN t USING (w) GROUP BY ALL HAVING 100 * count(*) >= CASE WHEN n < 8 THEN 100 ELSE 80 END * least(13, n)),
  b AS (SELECT *, list_max(list_transform(ks, lambda s: len(list_filter(ks, lambda k: k >= s AND k < s + 13)))) AS best FROM m)
 SELECT doc_id, item_id, CAST(n AS INTEGER) AS item_words, CAST(len(ks) AS INTEGER) AS matched,
        CAST(best AS INTEGER) AS window_matched, CAST(place AS INTEGER) AS place
-FROM b WHERE 100 * best >= 80 * least(13, n)
+FROM b WHERE 100 * best >= CASE WHEN n < 8 THEN 100 ELSE 80 END * least(13, n)
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY best DESC, len(ks) DESC, place) = 1
 """
 

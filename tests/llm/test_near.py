@@ -376,7 +376,7 @@ def test_leaks_with_substitutions(spark):
         for k in rng.sample(range(size), min(swaps, size)):
             own[k] = f"zz{k}"
         own = own[:size]  # only one window is there
-        if len(text.split()) >= 8 and 100 * (size - min(swaps, size)) >= 80 * size:
+        if 100 * (size - min(swaps, size)) >= (80 if size >= 8 else 100) * size:
             want.add((doc, item))
         docs.append((doc, prose(rng, 30) + ". " + " ".join(own).title() + "! " + prose(rng, 30)))
     docs += [(None, items[5][1]), (500, None), (501, ""), (502, "short"), (503, items[5][1]), (503, items[5][1]), (503, "x")]
@@ -385,13 +385,25 @@ def test_leaks_with_substitutions(spark):
     benchmark = spark.createDataFrame(items + items[:2], "item_id long, text string")
     got = decontaminate.leaks(docs, benchmark)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and got.count() == len(want)
-    assert {r.doc_id for r in decontaminate.clean(docs, benchmark).collect()} == {
-        r.doc_id for r in docs.collect()
-    } - {d for d, _ in want}
+    left = collections.Counter(r.doc_id for r in docs.collect())
+    left.subtract([*{d for d, _ in want}, 503, None])  # of 503 two rows hold the item, the third doesn't
+    assert collections.Counter(r.doc_id for r in decontaminate.clean(docs, benchmark).collect()) == +left
     assert decontaminate.leaks(docs, benchmark.limit(0)).count() == 0
     assert decontaminate.leaks(docs.limit(0), benchmark).count() == 0
 
 
+def test_short_and_unspaced_items(spark):
+    items = [(1, "what is the capital of France?"), (2, "日本の首都はどこですか、東京です"), (3, "yes"), (4, "two words"), (5, "ประเทศไทย")]
+    docs = [
+        (1, "So: What is the capital of france? Paris."), (2, "質問。日本の首都はどこですか。東京です！"), (3, "yes"), (4, "yesterday two, words"),
+        (5, "what is the capitol of france"), (6, "日本の首都"), (7, "two more words"), (8, "ในประเทศไทย"), (9, None), (None, "yes yes"),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 4), (8, 5)}
+    assert all(r.matched == r.window_matched == r.item_words for r in got if r.item_words < 8)
+
+
 def test_decontamination_runs_no_python(spark, capsys):
     sf = "/root/testdata/sf0.001"
     plan = QUERIES["op5_decontaminate"](spark, sf)._jdf.queryExecution().toString()

@@ -67,6 +67,19 @@ def test_files_prune(spark, tmp_path):
     assert spread < 10  # of 20 sources
 
 
+def test_written_shards_hold_every_row_once(spark, awkward, none, tmp_path):
+    rows = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d"), (1, "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"source": F.lit("s"), "lang": F.lit(None).cast("string")})
+    for name, table in (("few", docs), ("awkward", awkward), ("none", none)):
+        hilbert_shards.write_shards(table, str(tmp_path / name), 4)
+        if name != "none":
+            back = spark.read.parquet(str(tmp_path / name))
+            counted = (collections.Counter((r.doc_id, r.text) for r in t.collect()) for t in (back, table))
+            assert next(counted) == next(counted)
+            places = collections.Counter((r.shard, r.slot) for r in back.collect())
+            assert len(places) == table.count() and set(places) >= {(k, 0) for k in range(4)}
+
+
 def test_steps_tell_whole_values_apart(spark):
     """Sources and languages that begin alike, beside one that shares no beginning with them."""
     sources = ["common_crawl", "common_voice", *(f"src{i}" for i in range(10)), *(f"src1{i}" for i in range(4))]
@@ -134,6 +147,20 @@ def test_mix_of_awkward_rows(awkward, none, awkward_rows):
     assert cube_mix.mix(awkward.where("text IS NULL")).select("taken").first()[0] == 0
 
 
+def test_rows_are_mixed_by_their_own_draw(spark):
+    """Rows without an id, or with one for several, reach their source's target as others do."""
+    rows = [(None, f"{i} " + "w " * 19, "a") for i in range(600)] + [(i % 7, f"{i} " + "w " * 39, "b") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("times", F.lit("own"))
+    got = cube_mix.mixed(docs)
+    assert got.columns == docs.columns
+    words = {r.source: r.n for r in got.groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("n")).collect()}
+    for r in cube_mix.mix(docs).select("source", "target").distinct().collect():
+        assert abs(words[r.source] - r.target) <= 40
+    drawn = collections.Counter(r.times for r in cube_mix.mix(docs).collect())
+    often = collections.Counter(r.text for r in got.collect())
+    assert sum(drawn.values()) == 900 and collections.Counter(often.values()) == +collections.Counter({k: n for k, n in drawn.items() if k})
+
+
 def test_mix_flies_in_groups(awkward, spark, monkeypatch):
     monkeypatch.setattr(cube_mix, "GROUP_ROWS", 16)
     rng = random.Random(2)
