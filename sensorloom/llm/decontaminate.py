@@ -19,11 +19,13 @@ MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
 LEAST_WORDS = 1 + max(m[-1] for m in MASKS)
 #: Letters of scripts that put no space between words: each is a word.
 UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+#: A wide range that spans them all, quickly searched.
+MAYBE_UNSPACED = r"[\u0E00-\u1FFF\u2E80-\x{3FFFF}]"
 
 
 def word_hashes(text: Column) -> Column:
     """Hashes of the words of a text: runs of letters and digits, lower-cased, and single letters of unspaced scripts."""
-    apart = F.when(text.rlike(UNSPACED), F.regexp_replace(text, UNSPACED, " $1 ")).otherwise(text)
+    apart = F.when(text.rlike(MAYBE_UNSPACED), F.regexp_replace(text, UNSPACED, " $1 ")).otherwise(text)
     runs = F.split(F.lower(F.coalesce(apart, F.lit(""))), r"[^\p{L}\p{N}]+")
     return F.transform(F.array_remove(runs, ""), lambda w: F.xxhash64(w))
 
