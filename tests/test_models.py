@@ -244,6 +244,30 @@ def test_recent_panel_defaults_to_the_clock(spark):
     assert [r.vehicle_count for r in panels.recent_traffic(raw).collect()] == [1]
 
 
+def test_gaps_across_blocks(spark):
+    """Blocks of any number of cells give the gaps of one window; a hot sensor's cells are spread over tasks."""
+    rng = random.Random(7)
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = []
+    for sensor in ("hot", "rare", None):
+        at = 0.0
+        for _ in range(900 if sensor == "hot" else 40):
+            at += rng.choice([1, 5, 9, 10, 11, 30, 200, 4000])
+            rows.append((sensor, start + dt.timedelta(seconds=at)))
+    rows += [("hot", None), ("once", start), *rows[:20]]
+    raw = spark.createDataFrame(rows, "sensor_id string, timestamp timestamp")
+    want = set()
+    for sensor in ("hot", "rare", None):
+        own = sorted({t for s, t in rows if s == sensor and t})
+        want |= {(sensor, a, b) for a, b in zip(own, own[1:]) if (b - a).total_seconds() > 10}
+    for cells in (1, 3, 64, 1 << 20):
+        found = reading_gaps(raw, dt.timedelta(seconds=10), cells=cells)
+        got = [(r.sensor_id, r.gap_start.astimezone(dt.timezone.utc), r.gap_end.astimezone(dt.timezone.utc)) for r in found.collect()]
+        assert set(got) == want and len(got) == len(want)
+        ntz = raw.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        assert reading_gaps(ntz, dt.timedelta(seconds=10), cells=cells).count() == len(want)
+
+
 def test_gaps_equal_brute_force(spark, air):
     gap = dt.timedelta(minutes=10)
     seconds = sorted({(i * i * 37) % 40000 for i in range(120)} | {50000, 50600, 51200, 51801})
