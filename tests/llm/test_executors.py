@@ -26,7 +26,8 @@ for name in {names!r}:
 
 
 def test_workers_without_the_package(tmp_path):
-    names = ["op3_token_counts", "op8_perplexity_rules", "op11_ranked_search", "op12_html_text", "op13_spelling_variants"]
+    names = ["op1_line_dedup", "op2_quality_fm", "op3_token_counts", "op6_cube_mix", "op7_near_dedup", "op8_perplexity_rules", "op9_passages"]
+    names += ["op11_ranked_search", "op12_html_text", "op13_spelling_variants"]
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     script = SCRIPT.format(root=ROOT, folder=str(tmp_path / "scratch"), names=names)
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
