@@ -204,3 +204,45 @@ def test_shingles_and_words_of_a_chunk(awkward_rows):
                 assert names.setdefault(shingle, value) == value
         assert len(set(names.values())) == len(names)
         at += part.num_rows
+
+
+def test_model_of_whole_characters(spark):
+    """Grams of code points, none folded into another, against the textbook; digits, signs and other scripts differ."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab12#?éèж漢😀 \n") for _ in range(rng.randint(0, 40))) for _ in range(40)] + ["", None]
+    order = perplexity_rules.ORDER
+    own = {lang: [t for i, t in enumerate(texts) if i % 2 == k] for k, lang in enumerate(("en", None))}
+    docs = spark.createDataFrame([(i, t, ["en", None][i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = perplexity_rules.rules(docs).collect()
+    counted = perplexity_rules.count_grams(docs).groupBy("lang").count().collect()
+    for lang, part in own.items():
+        lines = [["^"] * (order - 1) + list(t or "") + ["$"] for t in part]
+        grams = [[tuple(line[i : i + order]) for i in range(len(line) - order + 1)] for line in lines]
+        levels = {order: collections.Counter(g for line in grams for g in line)}
+        for k in range(order - 1, 0, -1):
+            levels[k] = collections.Counter(g[1:] for g in levels[k + 1])
+        assert {r.lang: r["count"] for r in counted}[lang] == len(levels[order])
+
+        def p(gram):
+            k = len(gram)
+            if not k:
+                return 1 / len(levels[1])
+            n = [max(sum(c == i for c in levels[k].values()), 1) for i in range(1, 5)]
+            off = [0, *(min(max(i - (i + 1) * n[0] / (n[0] + 2 * n[1]) * n[i] / n[i - 1], 0.1), i - 0.1) for i in (1, 2, 3))]
+            same = {g: c for g, c in levels[k].items() if g[:-1] == gram[:-1]}
+            c, taken = same[gram], sum(off[min(x, 3)] for x in same.values())
+            return (c - off[min(c, 3)] + taken * p(gram[1:])) / sum(same.values())
+
+        logs = {g: math.log(p(g)) for g in levels[order]}
+        want = {i: -sum(logs[g] for g in line) / len(line) for i, line in zip([i for i, _ in enumerate(texts) if [*own].index(lang) == i % 2], grams)}
+        for r in got:
+            if r.doc_id in want:
+                assert math.isclose(r.log_perplexity, want[r.doc_id], rel_tol=1e-5), r
+
+
+def test_sums_of_several_ranges_of_hashes(spark, awkward, monkeypatch):
+    whole = sorted((r.doc_id or 0, r.n_words, round(r.log_perplexity, 4)) for r in perplexity_rules.rules(awkward).collect())
+    monkeypatch.setattr(perplexity_rules, "MODEL_ROWS", 10_000)
+    monkeypatch.setattr(perplexity_rules, "TASK_ROWS", 500)
+    got = sorted((r.doc_id or 0, r.n_words, round(r.log_perplexity, 4)) for r in perplexity_rules.rules(awkward).collect())
+    assert got == whole
