@@ -91,12 +91,14 @@ def stream_events(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFram
     """The same table as a stream of about a dozen micro-batches, with ``ts`` as an instant.
 
     The batches hold days that lie far apart and come in no order. With two copies,
-    each event comes again in another batch.
+    each event comes again in another batch. A batch has a file per core: small files
+    aren't split, and fewer would leave its decoding to fewer tasks.
     """
     events, folder = read_events(spark, sf_dir), scratch_dir(spark, "events")
+    cores = spark.sparkContext.defaultParallelism
     days = [F.pmod(F.dayofmonth("ts") + 5 * copy, F.lit(BATCHES)) for copy in range(copies)]
     parts = events.withColumn("part", F.explode(F.array(*days)))
-    parts.hint("rebalance", "part").write.partitionBy("part").parquet(folder)
+    parts.repartition(cores).write.partitionBy("part").parquet(folder)
     files = len(spark.read.parquet(folder).inputFiles())
     reader = spark.readStream.schema(f"{EVENTS_SCHEMA}, part int").option("maxFilesPerTrigger", max(1, files // BATCHES))
     return reader.parquet(folder).drop("part").withColumn("ts", as_utc_instant(F.col("ts")))

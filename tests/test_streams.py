@@ -606,3 +606,19 @@ def test_registered_streams_take_many_batches(spark):
     )
     query.awaitTermination()
     assert len(seen) >= 10 and sum(seen) == 2000
+
+
+def test_micro_batches_are_read_by_every_core(spark, tmp_path):
+    """A day's events are small files that aren't split: one a batch would leave its decoding to one task."""
+    from sensorloom.entry_events import read_events, stream_events
+
+    seen = []
+
+    def each(batch, number):
+        seen.append((batch.rdd.getNumPartitions(), batch.count()))
+
+    events = stream_events(spark, "/root/testdata/sf0.01")
+    events.writeStream.foreachBatch(each).option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start().awaitTermination()
+    assert 11 <= len(seen) <= 14
+    assert all(parts >= spark.sparkContext.defaultParallelism for parts, _ in seen[:-1])
+    assert sum(n for _, n in seen) == read_events(spark, "/root/testdata/sf0.01").count()
