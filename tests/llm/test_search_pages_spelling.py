@@ -281,6 +281,19 @@ def test_suffix_array_matches_brute_force(spark):
         assert [got[i] for i in range(len(pages))] == covered_by_brute_force(pages, run)
 
 
+def test_marked_articles_keep_what_adverts_repeat(spark):
+    """Lines that are adverts and footers of most pages, of the same page too, are paragraphs of some articles."""
+    lines = [f"Line {k} of eleven words that a host and its articles repeat" for k in range(3)]
+    pages, want = [], []
+    for i in range(30):
+        own = [f"Own words of page {i}", *(lines[: i % 3] if i < 9 else [])]
+        body = "".join(f"<p>{p}</p>" for p in own)
+        pages.append((f"http://h.org/{i}", f"<div class=ad>{lines[i % 3]}</div><article>{body}</article><footer>{lines[0]}</footer>"))
+        want.append("\n\n".join(own))
+    got = extracted(spark, pages)
+    assert [got[i] for i in range(30)] == want
+
+
 def test_awkward_pages(spark):
     rows = [(1, "http://a.org", None), (None, None, None), (2, None, ""), (2, None, ""), (3, "http://a.org/x", "<p>" + "w " * 200_000),
             (4, "http://a.org", "<p>漢字</p>"), (None, "http://a.org", "<p>漢字</p>")]
