@@ -294,6 +294,52 @@ def test_shared_passages_against_brute_force():
         assert {(0, k) for p in got for k in range(p[0], p[1])} | {(1, k) for p in got for k in range(p[2], p[3])} == want
 
 
+def check_classes(got, rows):
+    """All places of an exact passage in different texts have a class in common."""
+    classes, owners = collections.defaultdict(list), collections.defaultdict(set)
+    for r in got:
+        classes[r.doc_id].append((r.start_word, r.start_word + r.n_words, r.class_id))
+    for doc, text in rows:
+        own = words(text)
+        for k in range(len(own) - 49):
+            owners[tuple(own[k : k + 50])].add((doc, k))
+    for places in owners.values():
+        if len({doc for doc, _ in places}) > 1:
+            assert set.intersection(*({name for a, b, name in classes[doc] if a <= k and k + 50 <= b} for doc, k in places)), places
+
+
+def test_exact_passages_among_units_with_a_part_of_it(spark):
+    """Most units that share the windows' surroundings hold a part that is too short; those with the whole are linked all the same."""
+    rng, rows = random.Random(41), []
+    for _ in range(12):
+        passage = prose(rng, 52).split()
+        for k in range(28):
+            own = passage if k > 24 else passage[2:50]
+            rows.append((len(rows), " ".join([prose(rng, 20), *own, prose(rng, rng.randint(5, 30))])))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans, truth = check_passages(got, rows)
+    assert set(spans) == set(truth) == {k for k in range(len(rows)) if k % 28 > 24}
+    check_classes(got, rows)
+    assert len({r.class_id for r in got}) == 12
+
+
+def test_classes_of_passages(spark):
+    """Units that are only linked with the smallest one have its class; other passages of a document have others."""
+    rng, rows = random.Random(43), []
+    shared = [prose(rng, n) for n in (50, 60, 75, 120)]
+    for doc in range(90):
+        parts = [prose(rng, rng.randint(1, 40))]
+        for own in rng.sample(shared, rng.choice([0, 1, 1, 2, 3])):
+            cut = own.split()[: rng.choice([50, 60, 200])]
+            parts += [" ".join(cut), prose(rng, rng.randint(60, 90))]  # too far apart to be one passage
+        rows.append((doc, " ".join(parts)))
+    rows += [(200, shared[3]), (201, shared[3])]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_classes([r for r in got if r.doc_id != 201], rows[:-1])
+    assert len({r.class_id for r in got}) == 5  # that of the equal texts too
+    assert {r.class_id for r in got if r.doc_id == 201} < {r.class_id for r in got if r.doc_id == 200}
+
+
 def test_passages_twice_in_the_smallest_unit(spark):
     """Whichever unit is the smallest, it or another has the passage twice, once behind a part of it."""
     rng, rows = random.Random(31), []
