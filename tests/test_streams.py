@@ -313,6 +313,36 @@ def test_what_the_state_covers_is_not_read_again(spark, tmp_path):
     assert [spark.read.parquet(str(f)).head().sensor_id for f in found] == ["s3"]
 
 
+def test_a_deduped_batch_is_decoded_once_and_goes_through_one_state_once(spark, tmp_path, capsys):
+    """Also in a session that says nothing of its state, which then isn't kept on the heap."""
+    store, setting = "spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions"
+    before = {name: spark.conf.get(name) for name in (store, setting)}
+    same = [("sensor_air", "xx")] * 50
+    put(spark, tmp_path / "in", [message(AIR), message(AIR), message(AIR, sensor_id="s2"), message(AIR, pm25_level=7), *same])
+    spark.conf.unset(store)
+    try:
+        query = run(spark, tmp_path, dedupe=True, state_partitions=2)
+        assert (spark.conf.get(store, None), spark.conf.get(setting)) == (None, before[setting])
+    finally:
+        spark.conf.set(store, before[store])
+    states = [p["stateOperators"] for p in query.recentProgress]
+    assert {len(s) for s in states} == {1} and any("rocksdb" in metric for metric in states[0][0]["customMetrics"])
+    # Two keys, three readings and few rows for all bad messages.
+    assert 5 < sum(s[0]["numRowsUpdated"] for s in states) <= 5 + 2
+    query.explain()
+    assert "ReusedExchange" in capsys.readouterr().out
+    assert [count(spark, tmp_path, k) for k in KINDS.values()] == [2, 0, 0]
+    bad = ingest.read_quarantine(spark, str(tmp_path / "out")).groupBy("problem").count().collect()
+    assert {r.problem: r["count"] for r in bad} == {topics.BAD_JSON: 50, ingest.CONFLICT: 1}
+
+
+def test_values_that_differ_in_a_null_are_others(spark, tmp_path):
+    put(spark, tmp_path / "in", [message(AIR, co_level=None, no2_level=1), message(AIR, co_level=1, no2_level=None)])
+    run(spark, tmp_path, dedupe=True)
+    assert count(spark, tmp_path, AIR) == 1
+    assert [r.problem for r in ingest.read_quarantine(spark, str(tmp_path / "out")).collect()] == [ingest.CONFLICT]
+
+
 def test_what_the_state_has_forgotten_is_read(spark, tmp_path):
     put(spark, tmp_path / "in", [message(AIR), message(AIR, sensor_id="s2")])
     run(spark, tmp_path, dedupe=True, within="2 seconds")
