@@ -294,6 +294,27 @@ def test_marked_articles_keep_what_adverts_repeat(spark):
     assert [got[i] for i in range(30)] == want
 
 
+def test_marked_articles_vouch_for_open_text(spark):
+    """A passage on open pages is text where as many pages have it in their article; on more pages without, it goes."""
+    vouched, notice = "A passage of eleven words that articles of this host share", "Quite another ten words for a notice on open pages"
+    marked = [f"<article><p>Own words {i}</p><p>{vouched if i < 3 else notice if i < 5 else 'None'}</p></article>" for i in range(6)]
+    opens = [f"<p>Other own words {i}</p><p>{vouched}</p><p>{notice}</p>" if i < 3 else f"<p>{notice}</p><p>Last {i}</p>" for i in range(4)]
+    got = extracted(spark, [(f"http://h.org/{i}", page) for i, page in enumerate([*marked, *opens])])
+    assert [got[i] for i in range(6)] == [f"Own words {i}\n\n{vouched if i < 3 else notice if i < 5 else 'None'}" for i in range(6)]
+    assert [got[i] for i in range(6, 10)] == [*(f"Other own words {i}\n\n{vouched}" for i in range(3)), "Last 3"]
+    # Another host's articles say nothing, and equal pages count once.
+    other = [("http://a.org/1", marked[0])] * 3 + [(f"http://{h}.org/{i}", f"<p>{vouched}</p><p>Own {i}</p>") for h in "ab" for i in range(2)]
+    got = extracted(spark, other)
+    assert [got[i] for i in range(3, 7)] == ["Own 0", "Own 1"] * 2
+
+
+@pytest.mark.parametrize("words", range(1, 8))
+def test_streams_of_few_words(words):
+    """All pages of a task may have fewer words than a run."""
+    found = html_text.Streams(["word " * words], np.zeros(1, np.uint64), 8)
+    assert [len(part) for part in found.begun()] == [0, 0]
+
+
 def test_awkward_pages(spark):
     rows = [(1, "http://a.org", None), (None, None, None), (2, None, ""), (2, None, ""), (3, "http://a.org/x", "<p>" + "w " * 200_000),
             (4, "http://a.org", "<p>漢字</p>"), (None, "http://a.org", "<p>漢字</p>")]
